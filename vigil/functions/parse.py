@@ -1,11 +1,15 @@
 """Text-to-value parsers with the grammar of the daily-file checks.
 
-All of them are NULL-on-failure column expressions (``try_*`` functions behind a regex
-gate), so bad input never raises under ANSI mode and never leaves the JVM.
+All of them are NULL-on-failure column expressions, so bad input never raises under ANSI
+mode.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+import functools
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,70 +17,125 @@ from pyspark.sql import functions as F
 # separators, NEL, NBSP and the Unicode space separators.
 _WS = r"[\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
-# float() grammar: digits may be grouped by single underscores; 'inf', 'infinity' and
-# 'nan' in any case; no suffixes such as '1.0d' (which a plain cast would accept).
-_DIGITS = r"\d(?:_?\d)*"
-_FLOAT_RE = (rf"^[+-]?(?:(?:{_DIGITS})?\.{_DIGITS}|{_DIGITS}\.?)(?:[eE][+-]?{_DIGITS})?$"
-             r"|^(?i:[+-]?(?:inf|infinity|nan))$")
+def strip(col: Column) -> Column:
+    """Python-style whitespace strip (Spark's ``trim`` removes spaces only)."""
+    return F.regexp_replace(F.regexp_replace(col, rf"^{_WS}+", ""), rf"{_WS}+$", "")
 
-# fromisoformat() grammar (extended or basic date, any one-character separator, time
-# with optional minutes/seconds/fraction, optional Z or numeric offset).
-_ISO_RE = (r"^(?:(\d{4})-(\d{2})-(\d{2})|(\d{4})(\d{2})(\d{2}))"
-           r"(?:.(\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?"
-           r"(Z|([+-])(\d{2})(?::?(\d{2})(?::?(\d{2})(?:\.\d{1,6})?)?)?)?)?$")
 
+# The daily-file grammar *is* Python's: float() and datetime.fromisoformat() (3.11+). No
+# built-in Spark expression matches them (a cast accepts '1.0d' and rejects '1_0'; the
+# timestamp cast accepts a bare year and rejects '20260928'), and regex re-implementations
+# grow plans past codegen limits. These three parsers therefore run as Arrow-batched pandas
+# UDFs: one call per value, exact semantics, results handed back as canonical text that
+# Spark casts (so 'nan' and 'inf' survive the Arrow null mask).
 
-def strip(col: Column) -> Column:
-    """Python-style whitespace strip (Spark's ``trim`` removes spaces only)."""
-    return F.regexp_replace(col, rf"^{_WS}+|{_WS}+$", "")
+def _py_float(text):
+    if text is None:
+        return None
+    try:
+        return repr(float(text))
+    except (ValueError, TypeError):
+        return None
+
+
+def _py_range(text):
+    if text is None:
+        return None, None
+    try:
+        lower, upper = text.split("-", 1)
+        return repr(float(lower)), repr(float(upper))
+    except (ValueError, TypeError):
+        return None, None
+
+
+def _py_iso(text):
+    if text is None:
+        return None
+    try:
+        value = _dt.datetime.fromisoformat(text)
+    except (ValueError, TypeError):
+        return None
+    if value.tzinfo is not None:
+        value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+    return value.isoformat(sep=" ")
+
+
+def _float_batch(values: pd.Series) -> pd.Series:
+    return values.map(_py_float, na_action="ignore")
+
+
+def _range_batch(values: pd.Series) -> pd.DataFrame:
+    pairs = [_py_range(v) if isinstance(v, str) else (None, None) for v in values]
+    return pd.DataFrame(pairs, columns=["lower", "upper"], dtype=object)
+
+
+def _iso_batch(values: pd.Series) -> pd.Series:
+    return values.map(_py_iso, na_action="ignore")
+
+
+def _lab_batch(result: pd.Series, rng: pd.Series, collected: pd.Series) -> pd.DataFrame:
+    rows = []
+    for r, g, c in zip(result, rng, collected):
+        lo, hi = _py_range(g) if isinstance(g, str) else (None, None)
+        rows.append((_py_float(r) if isinstance(r, str) else None, lo, hi,
+                     _py_iso(c) if isinstance(c, str) else None))
+    return pd.DataFrame(rows, columns=["result", "lower", "upper", "collected"], dtype=object)
+
+
+@functools.cache
+def _udf(name: str):
+    """pandas UDFs are built on first use (building one needs an active session)."""
+    fn, rtype = {"float": (_float_batch, "string"),
+                 "range": (_range_batch, "struct<lower:string, upper:string>"),
+                 "iso": (_iso_batch, "string"),
+                 "lab": (_lab_batch, "struct<result:string, lower:string, upper:string, "
+                                     "collected:string>")}[name]
+    return F.pandas_udf(fn, rtype)
+
+
+def _float_text(col: Column) -> Column:
+    return _udf("float")(col)
+
+
+def _range_text(col: Column) -> Column:
+    return _udf("range")(col)
+
+
+def _iso_text(col: Column) -> Column:
+    return _udf("iso")(col)
 
 
 def parse_float(col: Column) -> Column:
-    """DOUBLE if ``col`` is a float literal in Python's grammar, else NULL."""
-    s = strip(col)
-    ok = s.rlike(_FLOAT_RE)
-    return F.when(ok, F.regexp_replace(s, "_", "").try_cast("double"))
+    """DOUBLE if ``col`` is a float literal in Python's grammar (blanks around allowed,
+    '1_0', 'inf', 'nan'), else NULL."""
+    return _float_text(col).try_cast("double")
 
 
-def parse_range(col: Column) -> tuple[Column, Column]:
-    """Split at the first '-' into (lower, upper) doubles; NULLs when either fails."""
-    pos = F.instr(col, "-")
-    lower = F.when(pos > 0, F.substring_index(col, "-", 1))
-    upper = F.when(pos > 0, col.substr(pos + 1, F.length(col)))
-    lo, hi = parse_float(lower), parse_float(upper)
-    ok = lo.isNotNull() & hi.isNotNull()
-    return F.when(ok, lo), F.when(ok, hi)
+def parse_range(col: Column) -> Column:
+    """Split at the first '-' into ``struct(lower, upper)`` doubles; NULL when either fails
+    (so '-1.0-5.0', '1e-5-2', '12' and '5-' are invalid)."""
+    r = _range_text(col)
+    return F.when(r["lower"].isNotNull(), F.struct(r["lower"].try_cast("double").alias("lower"),
+                                                    r["upper"].try_cast("double").alias("upper")))
 
 
 def parse_iso_ts(col: Column) -> Column:
-    """UTC TIMESTAMP for an ISO-8601 text in fromisoformat()'s grammar, else NULL.
+    """UTC TIMESTAMP for text accepted by ``datetime.fromisoformat``, else NULL.
 
-    Date-only means midnight; no offset means UTC; an offset is applied; impossible
-    dates and times (Feb 30, hour 24, second 60) give NULL.
+    Date-only means midnight, an offset is applied, and a naive time is taken as UTC.
     """
-    s = col
-
-    def g(i: int) -> Column:
-        return F.regexp_extract(s, _ISO_RE, i)
-
-    def num(c: Column, default: int = 0) -> Column:
-        return F.when(c == "", F.lit(default)).otherwise(c.try_cast("int"))
-
-    matched = s.rlike(_ISO_RE)
-    year = num(F.when(g(1) != "", g(1)).otherwise(g(4)))
-    month = num(F.when(g(2) != "", g(2)).otherwise(g(5)))
-    day = num(F.when(g(3) != "", g(3)).otherwise(g(6)))
-    hour, minute, second = num(g(7)), num(g(8)), num(g(9))
-    frac = F.rpad(F.substring(g(10), 1, 6), 6, "0")
-    micros = F.when(g(10) == "", F.lit(0)).otherwise(frac.try_cast("int"))
-    sec = (second.cast("decimal(10,6)") + micros.cast("decimal(10,6)") / F.lit(1000000)).cast("decimal(16,6)")
-    local = F.try_make_timestamp(year, month, day, hour, minute, sec, F.lit("UTC"))
-    off_sign = F.when(g(12) == "-", F.lit(-1)).otherwise(F.lit(1))
-    off_s = num(g(13)) * 3600 + num(g(14)) * 60 + num(g(15))
-    off_ok = (num(g(13)) < 24) & (num(g(14)) < 60) & (num(g(15)) < 60)
-    utc_micros = F.unix_micros(local) - (off_sign * off_s).cast("long") * F.lit(1000000)
-    valid = matched & (hour < 24) & (minute < 60) & (second < 60) & off_ok
-    return F.when(valid & local.isNotNull(), F.timestamp_micros(utc_micros))
+    return _iso_text(col).try_cast("timestamp")
+
+
+def parse_lab_fields(result: Column, rng: Column, collected: Column) -> Column:
+    """The three lab parsers in one Python pass: struct(result, lower, upper, collected)
+    with the types and NULL rules of :func:`parse_float`, :func:`parse_range` and
+    :func:`parse_iso_ts`."""
+    r = _udf("lab")(result, rng, collected)
+    return F.struct(r["result"].try_cast("double").alias("result"),
+                    r["lower"].try_cast("double").alias("lower"),
+                    r["upper"].try_cast("double").alias("upper"),
+                    r["collected"].try_cast("timestamp").alias("collected"))
 
 
 def parse_event_time(col: Column) -> Column:

@@ -205,3 +205,218 @@ SELECT patient_id, CAST(abnormal_count AS VARCHAR) || ' abnormal vital events in
 FROM trends_store WHERE risk_flag_realtime IN ('watch', 'elevated')""")
 def q_alerts_derive(spark, sf_dir):
     return EV.derive_alerts(trends_frame(spark, sf_dir))
+
+
+# ============================================================== 2.2 labs
+
+from vigil.functions.parse import parse_float, parse_iso_ts, parse_range, strip  # noqa: E402
+from vigil.operators import labs as LB  # noqa: E402
+from vigil.plans import reconcile as RC  # noqa: E402
+
+
+def _labs_sql(extra: str = "") -> str:
+    return "WITH " + FX.labs_cte() + "," + S.lab_ctes() + ("," + extra if extra else "")
+
+
+def _report_sql(extra: str = "") -> str:
+    return ("WITH " + FX.vitals_cte() + "," + S.speed_ctes() + "," + FX.labs_cte() + ","
+            + S.lab_ctes() + "," + S.report_ctes() + ("," + extra if extra else ""))
+
+
+def validated_labs(spark, sf_dir) -> DataFrame:
+    return LB.validate_labs(FX.labs(spark, sf_dir))
+
+
+def staged_labs(spark, sf_dir) -> DataFrame:
+    return LB.accepted_labs(validated_labs(spark, sf_dir))
+
+
+def report_frame(spark, sf_dir, with_evidence=False) -> DataFrame:
+    return RC.daily_risk_report(staged_labs(spark, sf_dir), stored_trends(spark, sf_dir),
+                                with_evidence=with_evidence)
+
+
+@register("parse_float", _labs_sql() + f"""
+SELECT seq, result_value, {S.float_val('result_value')} AS parsed FROM labs""")
+def q_parse_float(spark, sf_dir):
+    lab = FX.labs(spark, sf_dir)
+    return lab.select("seq", "result_value", parse_float(F.col("result_value")).alias("parsed"))
+
+
+@register("parse_reference_range", _labs_sql() + f"""
+SELECT seq, reference_range,
+  CASE WHEN {S.float_ok(S.range_lower(S._strip('reference_range')))}
+        AND {S.float_ok(S.range_upper(S._strip('reference_range')))}
+       THEN {S.float_val(S.range_lower(S._strip('reference_range')))} END AS lower_bound,
+  CASE WHEN {S.float_ok(S.range_lower(S._strip('reference_range')))}
+        AND {S.float_ok(S.range_upper(S._strip('reference_range')))}
+       THEN {S.float_val(S.range_upper(S._strip('reference_range')))} END AS upper_bound
+FROM labs""")
+def q_parse_reference_range(spark, sf_dir):
+    lab = FX.labs(spark, sf_dir)
+    rng = lab.select("seq", "reference_range", parse_range(strip(F.col("reference_range"))).alias("r"))
+    return rng.select("seq", "reference_range", F.col("r.lower").alias("lower_bound"),
+                      F.col("r.upper").alias("upper_bound"))
+
+
+@register("parse_collected_at", _labs_sql() + f"""
+SELECT seq, collected_at, {S.ts_val('collected_at')} AS collected_utc FROM labs""")
+def q_parse_collected_at(spark, sf_dir):
+    lab = FX.labs(spark, sf_dir)
+    return lab.select("seq", "collected_at", parse_iso_ts(F.col("collected_at")).alias("collected_utc"))
+
+
+@register("lab_validate", _labs_sql() + """
+SELECT seq, sim_date, reason FROM lv""")
+def q_lab_validate(spark, sf_dir):
+    return validated_labs(spark, sf_dir).select("seq", "sim_date", "reason")
+
+
+@register("lab_duplicates", _labs_sql() + """
+SELECT seq, sim_date, t_patient_id AS patient_id, t_test_type AS test_type FROM lv
+WHERE reason = 'duplicate_patient_test'""")
+def q_lab_duplicates(spark, sf_dir):
+    v = validated_labs(spark, sf_dir)
+    return v.filter(F.col("reason") == "duplicate_patient_test").select(
+        "seq", "sim_date", F.col("t_patient_id").alias("patient_id"),
+        F.col("t_test_type").alias("test_type"))
+
+
+@register("lab_rejected", _labs_sql() + """
+SELECT 'daily_labs' AS source, sim_date, seq AS row_number,
+  to_json(struct_pack(patient_id := patient_id, test_type := test_type, result_value := result_value,
+    reference_range := reference_range, collected_at := collected_at)) AS raw_content, reason
+FROM lv WHERE reason IS NOT NULL""")
+def q_lab_rejected(spark, sf_dir):
+    return LB.rejected_labs(validated_labs(spark, sf_dir)).drop("rejected_at")
+
+
+@register("lab_staged", _labs_sql() + """
+SELECT * FROM staged""")
+def q_lab_staged(spark, sf_dir):
+    return staged_labs(spark, sf_dir)
+
+
+@register("lab_rejection_counts", _labs_sql() + """
+SELECT sim_date, coalesce(reason, 'accepted') AS reason, count(*) AS "rows" FROM lv GROUP BY 1, 2""")
+def q_lab_rejection_counts(spark, sf_dir):
+    return LB.rejection_counts(validated_labs(spark, sf_dir))
+
+
+@register("lab_out_of_range", _labs_sql() + """
+SELECT sim_date, patient_id, test_type,
+  coalesce((NOT isnan(v) AND NOT isnan(lo) AND v < lo) OR (NOT isnan(v) AND NOT isnan(hi) AND v > hi),
+           FALSE) AS out_of_range FROM lflag""")
+def q_lab_out_of_range(spark, sf_dir):
+    return LB.lab_flags(staged_labs(spark, sf_dir)).select(
+        "sim_date", "patient_id", "test_type", "out_of_range")
+
+
+@register("lab_evidence", _labs_sql() + f"""
+SELECT sim_date, patient_id, lab_count, abnormal_labs, {S.risk_tier('abnormal_labs')} AS lab_flag
+FROM evidence""")
+def q_lab_evidence(spark, sf_dir):
+    return LB.lab_evidence(staged_labs(spark, sf_dir))
+
+
+@register("lab_patients", _labs_sql() + """
+SELECT DISTINCT sim_date, patient_id FROM staged""")
+def q_lab_patients(spark, sf_dir):
+    return staged_labs(spark, sf_dir).select("sim_date", "patient_id").distinct()
+
+
+@register("lab_defect_profile", _labs_sql() + ", ".join([""] + []) + """
+SELECT sim_date, count(*) AS input_rows, count(*) FILTER (WHERE reason IS NULL) AS accepted_rows,
+""" + ",\n".join(
+    f"  round(CAST(count(*) FILTER (WHERE reason = '{r}') AS DOUBLE) / count(*), 4) AS share_{r}"
+    for r in ("missing_patient_id", "invalid_test_type", "invalid_result", "missing_reference_range",
+              "invalid_reference_range", "invalid_collected_at", "duplicate_patient_test"))
+    + "\nFROM lv GROUP BY sim_date")
+def q_lab_defect_profile(spark, sf_dir):
+    return LB.defect_profile(validated_labs(spark, sf_dir))
+
+
+# ============================================================== 2.4 as-of + daily report
+
+@register("asof_latest_trend", _report_sql() + """
+SELECT sim_date, patient_id, window_end, CAST(avg_hr AS DOUBLE) AS avg_hr,
+  trend_abnormal AS abnormal_count, risk_flag_realtime, trend_available FROM asof_t""")
+def q_asof_latest_trend(spark, sf_dir):
+    ev = LB.lab_evidence(staged_labs(spark, sf_dir)).withColumn("probe_ts", RC.day_end())
+    from vigil.operators.asof import asof_join
+    cols = ["window_end", "avg_hr", "abnormal_count", "risk_flag_realtime"]
+    j = asof_join(ev, stored_trends(spark, sf_dir), ["patient_id"], "probe_ts", "window_end", cols,
+                  matched_col="trend_available")
+    return j.select("sim_date", "patient_id", "window_end", F.col("avg_hr").cast("double").alias("avg_hr"),
+                    "abnormal_count", "risk_flag_realtime", "trend_available")
+
+
+@register("daily_risk_report", _report_sql() + """
+SELECT sim_date, patient_id, trend_summary, lab_summary, operational_risk_flag, data_quality_note
+FROM report""")
+def q_daily_risk_report(spark, sf_dir):
+    return report_frame(spark, sf_dir)
+
+
+@register("trend_summary", _report_sql() + """
+SELECT sim_date, patient_id, trend_summary, trend_available FROM report""")
+def q_trend_summary(spark, sf_dir):
+    return report_frame(spark, sf_dir, with_evidence=True).select(
+        "sim_date", "patient_id", "trend_summary", "trend_available")
+
+
+@register("risk_matrix", _report_sql() + """
+SELECT trend_flag, lab_flag, operational_risk_flag, count(*) AS reports FROM report GROUP BY 1, 2, 3""")
+def q_risk_matrix(spark, sf_dir):
+    r = report_frame(spark, sf_dir, with_evidence=True)
+    return r.groupBy("trend_flag", "lab_flag", "operational_risk_flag").agg(
+        F.count(F.lit(1)).alias("reports"))
+
+
+EXPECTED_FIXTURE_REPORTS = 25
+
+
+def gate_frame(spark, sf_dir) -> DataFrame:
+    staged = staged_labs(spark, sf_dir)
+    reports = RC.daily_risk_report(staged, stored_trends(spark, sf_dir))
+    return RC.quality_gate(reports, staged, FX.labs(spark, sf_dir).select("sim_date"),
+                           expected_count=EXPECTED_FIXTURE_REPORTS)
+
+
+@register("quality_gate", _report_sql() + f""",
+rc AS (SELECT sim_date, count(*) AS report_count,
+    count(*) FILTER (WHERE operational_risk_flag NOT IN ('normal', 'watch', 'elevated')) AS invalid_flag_count,
+    count(*) FILTER (WHERE patient_id IS NULL OR trend_summary IS NULL OR lab_summary IS NULL
+      OR operational_risk_flag IS NULL OR data_quality_note IS NULL) AS null_field_count
+    FROM report GROUP BY sim_date),
+lc AS (SELECT sim_date, count(*) AS lab_count FROM staged GROUP BY sim_date),
+g AS (SELECT d.sim_date, coalesce(report_count, 0) AS report_count, CAST({EXPECTED_FIXTURE_REPORTS} AS BIGINT) AS expected_count,
+    coalesce(invalid_flag_count, 0) AS invalid_flag_count, coalesce(null_field_count, 0) AS null_field_count,
+    coalesce(lab_count, 0) AS lab_count
+    FROM (SELECT DISTINCT sim_date FROM labs) d LEFT JOIN rc USING (sim_date) LEFT JOIN lc USING (sim_date)),
+gs AS (SELECT *, CASE WHEN report_count <> expected_count THEN 'failed_report_count'
+    WHEN invalid_flag_count > 0 THEN 'failed_flag_domain' WHEN null_field_count > 0 THEN 'failed_required_fields'
+    WHEN lab_count = 0 THEN 'failed_no_labs' ELSE 'passed' END AS status FROM g)
+SELECT *, CASE status
+  WHEN 'failed_report_count' THEN 'Quality gate failed: expected ' || CAST(expected_count AS VARCHAR)
+    || ' risk reports for ' || CAST(sim_date AS VARCHAR) || ', found ' || CAST(report_count AS VARCHAR) || '.'
+  WHEN 'failed_flag_domain' THEN 'Quality gate failed: ' || CAST(invalid_flag_count AS VARCHAR)
+    || ' report(s) contain an invalid operational risk flag.'
+  WHEN 'failed_required_fields' THEN 'Quality gate failed: ' || CAST(null_field_count AS VARCHAR)
+    || ' report(s) contain NULL required fields.'
+  WHEN 'failed_no_labs' THEN 'Quality gate failed: no staged laboratory data found for '
+    || CAST(sim_date AS VARCHAR) || '.'
+  ELSE 'QUALITY GATE PASSED' END AS message FROM gs""")
+def q_quality_gate(spark, sf_dir):
+    return gate_frame(spark, sf_dir)
+
+
+@register("run_ledger_counts", _labs_sql() + """
+SELECT d.sim_date, coalesce(s.n, 0) AS records_processed, coalesce(r.n, 0) AS records_rejected
+FROM (SELECT DISTINCT sim_date FROM labs) d
+LEFT JOIN (SELECT sim_date, count(*) AS n FROM staged GROUP BY 1) s USING (sim_date)
+LEFT JOIN (SELECT sim_date, count(*) AS n FROM lv WHERE reason IS NOT NULL GROUP BY 1) r USING (sim_date)""")
+def q_run_ledger_counts(spark, sf_dir):
+    v = validated_labs(spark, sf_dir)
+    return RC.run_ledger_counts(LB.accepted_labs(v), LB.rejected_labs(v),
+                                FX.labs(spark, sf_dir).select("sim_date"))
