@@ -420,3 +420,283 @@ def q_run_ledger_counts(spark, sf_dir):
     v = validated_labs(spark, sf_dir)
     return RC.run_ledger_counts(LB.accepted_labs(v), LB.rejected_labs(v),
                                 FX.labs(spark, sf_dir).select("sim_date"))
+
+
+# ============================================================== 2.1 keyed writes (pure forms)
+
+from vigil.sources import store as ST  # noqa: E402
+
+
+@register("insert_if_absent", _speed() + """,
+b AS (SELECT * FROM accepted WHERE CAST(substr(event_id,2) AS BIGINT) % 3 IN (0, 1)),
+s AS (SELECT DISTINCT event_id FROM accepted WHERE CAST(substr(event_id,2) AS BIGINT) % 3 IN (1, 2))
+SELECT * FROM b WHERE event_id NOT IN (SELECT event_id FROM s)""")
+def q_insert_if_absent(spark, sf_dir):
+    acc = EV.accepted_events(FX.vitals(spark, sf_dir))
+    n = F.expr("CAST(substr(event_id,2) AS BIGINT) % 3")
+    return ST.new_rows(acc.filter(n.isin(0, 1)), acc.filter(n.isin(1, 2)), ["event_id"], ["event_ts"])
+
+
+@register("patients_upsert", "WITH " + FX.patient_batches_cte() + """
+SELECT coalesce(pb2.patient_id, pb1.patient_id) AS patient_id,
+  CASE WHEN pb2.patient_id IS NOT NULL THEN pb2.baseline_hr ELSE pb1.baseline_hr END AS baseline_hr,
+  CAST(CASE WHEN pb2.patient_id IS NOT NULL THEN pb2.baseline_spo2 ELSE pb1.baseline_spo2 END AS DOUBLE) AS baseline_spo2,
+  CASE WHEN pb1.patient_id IS NOT NULL THEN pb1.admitted_at ELSE pb2.admitted_at END AS admitted_at
+FROM pb1 FULL OUTER JOIN pb2 ON pb1.patient_id = pb2.patient_id""")
+def q_patients_upsert(spark, sf_dir):
+    b1, b2 = FX.patient_batches(spark, sf_dir)
+    m = ST.merge_upsert(b1, b2, ["patient_id"], keep_first=["admitted_at"])
+    return m.withColumn("baseline_spo2", F.col("baseline_spo2").cast("double"))
+
+
+# ============================================================== 2.6 / 2.9 serving
+
+from vigil.plans import serving as SV  # noqa: E402
+
+
+def alerts_table(spark, sf_dir) -> DataFrame:
+    return EV.derive_alerts(stored_trends(spark, sf_dir), flag_col="risk_flag_realtime")
+
+
+def _alerts_sql() -> str:
+    return """alerts_t AS (SELECT patient_id, CAST(abnormal_count AS VARCHAR)
+    || ' abnormal vital events in 90-second window' AS rule_triggered, risk_flag_realtime AS severity,
+    window_end AS triggered_at, CAST(NULL AS TIMESTAMP) AS resolved_at, 'speed' AS source_layer
+    FROM trends_store WHERE risk_flag_realtime IN ('watch', 'elevated'))"""
+
+
+def pipeline_runs_frame(spark, sf_dir) -> DataFrame:
+    """Run history derived from the lab fixture: one run per date with its counts."""
+    v = validated_labs(spark, sf_dir)
+    counts = RC.run_ledger_counts(LB.accepted_labs(v), LB.rejected_labs(v),
+                                  FX.labs(spark, sf_dir).select("sim_date"))
+    d = F.datediff(F.col("sim_date"), F.lit("2026-09-28").cast("date"))
+    started = F.col("sim_date").cast("timestamp") + F.expr("INTERVAL 6 HOURS")
+    status = F.when(d % 11 == 0, "running").when(d % 7 == 0, "failed").otherwise("success")
+    ended = F.when(status != "running",
+                   F.timestamp_seconds(F.unix_seconds(started) + F.col("records_rejected")))
+    return counts.select(F.lit("daily_reconciliation").alias("dag_id"),
+                         F.concat(F.lit("run_"), F.col("sim_date").cast("string")).alias("run_id"),
+                         status.alias("status"), started.alias("started_at"), ended.alias("ended_at"),
+                         "records_processed", "records_rejected")
+
+
+_RUNS_SQL = """runs_t AS (SELECT 'daily_reconciliation' AS dag_id, 'run_' || CAST(sim_date AS VARCHAR) AS run_id,
+    CASE WHEN date_diff('day', DATE '2026-09-28', sim_date) % 11 = 0 THEN 'running'
+         WHEN date_diff('day', DATE '2026-09-28', sim_date) % 7 = 0 THEN 'failed' ELSE 'success' END AS status,
+    CAST(sim_date AS TIMESTAMP) + INTERVAL 6 HOURS AS started_at,
+    CASE WHEN date_diff('day', DATE '2026-09-28', sim_date) % 11 = 0 THEN NULL
+         ELSE CAST(sim_date AS TIMESTAMP) + INTERVAL 6 HOURS + to_seconds(records_rejected) END AS ended_at,
+    records_processed, records_rejected FROM (
+      SELECT d.sim_date, coalesce(s.n, 0) AS records_processed, coalesce(r.n, 0) AS records_rejected
+      FROM (SELECT DISTINCT sim_date FROM labs) d
+      LEFT JOIN (SELECT sim_date, count(*) AS n FROM staged GROUP BY 1) s USING (sim_date)
+      LEFT JOIN (SELECT sim_date, count(*) AS n FROM lv WHERE reason IS NOT NULL GROUP BY 1) r USING (sim_date)) c)"""
+
+_LATEST_SQL = """latest_t AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
+    PARTITION BY patient_id ORDER BY window_end DESC) AS rn FROM trends_store) WHERE rn = 1)"""
+
+
+@register("latest_trend", _speed(_LATEST_SQL) + """
+SELECT patient_id, window_start, window_end, CAST(avg_hr AS DOUBLE) AS avg_hr, CAST(avg_spo2 AS DOUBLE) AS avg_spo2,
+  CAST(avg_temp AS DOUBLE) AS avg_temp, abnormal_count, risk_flag_realtime FROM latest_t""")
+def q_latest_trend(spark, sf_dir):
+    t = SV.latest_trend(stored_trends(spark, sf_dir))
+    return t.select(*[F.col(c).cast("double").alias(c) if c.startswith("avg_") else F.col(c)
+                      for c in SV.TREND_FIELDS])
+
+
+@register("patient_trends", _speed() + """
+SELECT patient_id, window_start, window_end, CAST(avg_hr AS DOUBLE) AS avg_hr, CAST(avg_spo2 AS DOUBLE) AS avg_spo2,
+  CAST(avg_temp AS DOUBLE) AS avg_temp, abnormal_count, risk_flag_realtime FROM trends_store""")
+def q_patient_trends(spark, sf_dir):
+    t = SV.patient_trends(stored_trends(spark, sf_dir))
+    return t.select(*[F.col(c).cast("double").alias(c) if c.startswith("avg_") else F.col(c)
+                      for c in SV.TREND_FIELDS])
+
+
+@register("trend_series", _speed() + """
+SELECT patient_id, window_end, series, value FROM (
+  SELECT patient_id, window_end, 'avg_hr' AS series, CAST(avg_hr AS DOUBLE) AS value FROM trends_store
+  UNION ALL SELECT patient_id, window_end, 'avg_spo2', CAST(avg_spo2 AS DOUBLE) FROM trends_store
+  UNION ALL SELECT patient_id, window_end, 'avg_temp', CAST(avg_temp AS DOUBLE) FROM trends_store) x""")
+def q_trend_series(spark, sf_dir):
+    return SV.trend_series(stored_trends(spark, sf_dir))
+
+
+@register("alerts_list", _speed(_alerts_sql()) + """
+SELECT * FROM alerts_t""")
+def q_alerts_list(spark, sf_dir):
+    return SV.alerts_list(alerts_table(spark, sf_dir))
+
+
+@register("recent_alerts", _speed(_alerts_sql()) + """
+SELECT * FROM alerts_t ORDER BY triggered_at DESC, patient_id, rule_triggered LIMIT 10""")
+def q_recent_alerts(spark, sf_dir):
+    return SV.recent_alerts(alerts_table(spark, sf_dir))
+
+
+@register("kpis", "WITH " + FX.vitals_cte() + "," + S.speed_ctes() + "," + FX.patients_cte() + ","
+          + _LATEST_SQL + "," + _alerts_sql() + """,
+k AS (SELECT (SELECT count(*) FROM patients) AS active_patients,
+  (SELECT count(*) FROM latest_t WHERE risk_flag_realtime IN ('watch', 'elevated')) AS watch_or_elevated_patients,
+  (SELECT count(*) FROM alerts_t WHERE resolved_at IS NULL) AS active_alerts)
+SELECT active_patients, watch_or_elevated_patients,
+  CASE WHEN active_patients > 0 THEN round(CAST(watch_or_elevated_patients AS DOUBLE) / active_patients * 100, 2)
+       ELSE 0.0 END AS risk_percentage, active_alerts FROM k""")
+def q_kpis(spark, sf_dir):
+    return SV.kpis(FX.patients(spark, sf_dir), stored_trends(spark, sf_dir), alerts_table(spark, sf_dir))
+
+
+_GAUGE_SQL = ("WITH " + FX.vitals_cte() + "," + S.speed_ctes() + "," + FX.patients_cte() + ","
+              + _LATEST_SQL + """,
+g AS (SELECT 'active_patients' AS metric, CAST((SELECT count(*) FROM patients) AS DOUBLE) AS value
+  UNION ALL SELECT 'watch_or_elevated_patients',
+  CAST((SELECT count(*) FROM latest_t WHERE risk_flag_realtime IN ('watch', 'elevated')) AS DOUBLE))""")
+
+
+@register("gauges", _GAUGE_SQL + "\nSELECT * FROM g")
+def q_gauges(spark, sf_dir):
+    return SV.gauges(q_kpis(spark, sf_dir))
+
+
+@register("gauge_alerts", _GAUGE_SQL + """
+SELECT metric, value, 0.0 AS threshold FROM g WHERE metric = 'watch_or_elevated_patients' AND value > 0""")
+def q_gauge_alerts(spark, sf_dir):
+    return SV.gauge_alerts(SV.gauges(q_kpis(spark, sf_dir)))
+
+
+@register("patient_risk", _report_sql(_LATEST_SQL) + """,
+ld AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY sim_date DESC) AS rn
+  FROM report) WHERE rn = 1)
+SELECT coalesce(l.patient_id, d.patient_id) AS patient_id, l.risk_flag_realtime AS realtime_risk_flag,
+  l.window_start AS realtime_window_start, l.window_end AS realtime_window_end,
+  l.abnormal_count AS realtime_abnormal_count, d.sim_date AS daily_sim_date,
+  d.operational_risk_flag AS daily_operational_risk_flag, d.trend_summary AS daily_trend_summary,
+  d.lab_summary AS daily_lab_summary, d.data_quality_note AS daily_data_quality_note
+FROM latest_t l FULL OUTER JOIN ld d ON l.patient_id = d.patient_id""")
+def q_patient_risk(spark, sf_dir):
+    return SV.flatten(SV.patient_risk(stored_trends(spark, sf_dir), report_frame(spark, sf_dir)))
+
+
+@register("daily_risk", _report_sql() + """
+SELECT patient_id, sim_date, trend_summary, lab_summary, operational_risk_flag, data_quality_note FROM report""")
+def q_daily_risk(spark, sf_dir):
+    return SV.daily_risk(report_frame(spark, sf_dir))
+
+
+@register("risk_overview", _report_sql() + """
+SELECT sim_date, coalesce(patient_id, '-') AS patient, upper(coalesce(operational_risk_flag, 'unknown')) AS risk,
+  coalesce(trend_summary, '-') AS trend, coalesce(lab_summary, '-') AS labs,
+  coalesce(data_quality_note, '-') AS data_quality FROM report""")
+def q_risk_overview(spark, sf_dir):
+    return SV.risk_overview(report_frame(spark, sf_dir))
+
+
+@register("risk_distribution", _report_sql() + """
+SELECT sim_date, count(*) FILTER (WHERE operational_risk_flag = 'normal') AS normal,
+  count(*) FILTER (WHERE operational_risk_flag = 'watch') AS watch,
+  count(*) FILTER (WHERE operational_risk_flag = 'elevated') AS elevated, count(*) AS reports
+FROM report GROUP BY sim_date""")
+def q_risk_distribution(spark, sf_dir):
+    return SV.risk_distribution(report_frame(spark, sf_dir))
+
+
+@register("reconciliation_status", _report_sql(FX.patients_cte()) + """
+SELECT sim_date, count(*) AS report_count, (SELECT count(*) FROM patients) AS expected_patients,
+  count(*) = (SELECT count(*) FROM patients) AND (SELECT count(*) FROM patients) > 0 AS complete
+FROM report GROUP BY sim_date""")
+def q_reconciliation_status(spark, sf_dir):
+    return SV.reconciliation_status(report_frame(spark, sf_dir), FX.patients(spark, sf_dir))
+
+
+@register("run_durations", _labs_sql(_RUNS_SQL) + """
+SELECT *, CAST(date_diff('microsecond', started_at, ended_at) AS DOUBLE) / 1e6 AS duration_seconds FROM runs_t""")
+def q_run_durations(spark, sf_dir):
+    return SV.run_durations(pipeline_runs_frame(spark, sf_dir))
+
+
+@register("pipeline_health", _labs_sql(_RUNS_SQL) + """
+SELECT *, CAST(date_diff('microsecond', started_at, ended_at) AS DOUBLE) / 1e6 AS duration_seconds FROM runs_t
+ORDER BY started_at DESC, run_id DESC LIMIT 10""")
+def q_pipeline_health(spark, sf_dir):
+    return SV.pipeline_health(pipeline_runs_frame(spark, sf_dir))
+
+
+# ============================================================== 2.10 audits
+
+from vigil.operators import audit as AU  # noqa: E402
+
+_GAPS_SQL = """gaps_t AS (SELECT patient_id, event_ts, lag(event_ts) OVER (PARTITION BY patient_id ORDER BY event_ts) AS prev_ts
+    FROM accepted),
+gaps_s AS (SELECT *, CAST(date_diff('microsecond', prev_ts, event_ts) AS DOUBLE) / 1e6 AS gap FROM gaps_t
+    WHERE prev_ts IS NOT NULL)"""
+
+
+@register("cadence_profile", _speed(_GAPS_SQL) + f"""
+SELECT patient_id, count(*) AS gaps, {S.r4('min(gap)')} AS min_gap_s, {S.r4('avg(gap)')} AS avg_gap_s,
+  {S.r4('max(gap)')} AS max_gap_s, {S.r4('avg(CASE WHEN gap BETWEEN 3 AND 8 THEN 1.0 ELSE 0.0 END)')} AS share_in_range
+FROM gaps_s GROUP BY patient_id""")
+def q_cadence_profile(spark, sf_dir):
+    return AU.cadence_profile(EV.accepted_events(FX.vitals(spark, sf_dir)))
+
+
+@register("sensor_gaps", _speed(_GAPS_SQL) + f"""
+SELECT patient_id, prev_ts AS gap_start, event_ts AS gap_end, {S.r4('gap')} AS seconds FROM gaps_s WHERE gap >= 20""")
+def q_sensor_gaps(spark, sf_dir):
+    return AU.sensor_gaps(EV.accepted_events(FX.vitals(spark, sf_dir)))
+
+
+@register("duplicate_rate", _vitals_ctes() + f"""
+SELECT count(*) AS "rows", count(DISTINCT event_id) AS distinct_ids,
+  count(*) - count(DISTINCT event_id) AS duplicate_rows,
+  {S.r4('CAST(count(*) - count(DISTINCT event_id) AS DOUBLE) / count(*)')} AS duplicate_rate,
+  CAST(count(*) - count(DISTINCT event_id) AS DOUBLE) / count(*) > 0.02 AS alarm FROM vitals""")
+def q_duplicate_rate(spark, sf_dir):
+    return AU.duplicate_rate(FX.vitals(spark, sf_dir))
+
+
+@register("late_event_audit", "WITH " + FX.vitals_late_cte() + f""",
+lm AS (SELECT *, max(event_ts) OVER (PARTITION BY patient_id ORDER BY seq
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior_max_ts FROM vitals_late),
+ll AS (SELECT *, CAST(date_diff('microsecond', event_ts, prior_max_ts) AS DOUBLE) / 1e6 AS lat FROM lm)
+SELECT patient_id, event_id, seq, event_ts, prior_max_ts, {S.r4('lat')} AS lateness_s, lat > 30 AS is_late
+FROM ll WHERE lat > 0""")
+def q_late_event_audit(spark, sf_dir):
+    return AU.late_event_audit(FX.vitals_late(spark, sf_dir))
+
+
+@register("event_quality_rates", _vitals_ctes() + f""",
+f AS (SELECT patient_id, CAST(event_ts AS DATE) AS event_date, {S.operational_reason()} IS NOT NULL AS invalid,
+  {S.abnormal_flag()} AS abnormal FROM vitals)
+SELECT patient_id, event_date, count(*) AS events, count(*) FILTER (WHERE invalid) AS invalid_events,
+  {S.r4('avg(CASE WHEN invalid THEN 1.0 ELSE 0.0 END)')} AS invalid_rate,
+  count(*) FILTER (WHERE NOT invalid AND abnormal = 1) AS abnormal_events,
+  {S.r4('avg(CASE WHEN NOT invalid THEN CAST(abnormal AS DOUBLE) END)')} AS abnormal_rate
+FROM f GROUP BY 1, 2""")
+def q_event_quality_rates(spark, sf_dir):
+    return AU.event_quality_rates(FX.vitals(spark, sf_dir))
+
+
+def _rule_counts_sql() -> str:
+    from vigil import config as CFG
+    parts = [f"SELECT 'missing_{c}' AS rule, count(*) FILTER (WHERE {c} IS NULL) AS failures FROM vitals"
+             for c in ("patient_id", "event_id", "event_ts", "heart_rate", "spo2", "systolic_bp",
+                       "diastolic_bp", "temperature")]
+    parts += [f"SELECT '{c}_out_of_range', count(*) FILTER (WHERE coalesce({S._outside(c, *b)}, FALSE)) FROM vitals"
+              for c, b in CFG.OPERATIONAL_BOUNDS.items()]
+    return _vitals_ctes() + "\n" + "\nUNION ALL ".join(parts)
+
+
+@register("rule_failure_counts", _rule_counts_sql())
+def q_rule_failure_counts(spark, sf_dir):
+    return AU.rule_failure_counts(FX.vitals(spark, sf_dir))
+
+
+@register("baseline_deviation", _speed(FX.patients_cte()) + f"""
+SELECT a.patient_id, count(*) AS events,
+  {S.r4('avg(CASE WHEN abs(heart_rate - baseline_hr) > 5 THEN 1.0 ELSE 0.0 END)')} AS share_hr_outside,
+  {S.r4('avg(CASE WHEN abs(spo2 - CAST(baseline_spo2 AS DOUBLE)) > 1.0 THEN 1.0 ELSE 0.0 END)')} AS share_spo2_outside
+FROM accepted a JOIN patients p ON a.patient_id = p.patient_id GROUP BY a.patient_id""")
+def q_baseline_deviation(spark, sf_dir):
+    return AU.baseline_deviation(EV.accepted_events(FX.vitals(spark, sf_dir)), FX.patients(spark, sf_dir))

@@ -99,7 +99,7 @@ def vitals_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events with an arrival order ``seq`` and some stamped 3 s early."""
     v = vitals(spark, sf_dir)
     return v.select(*[c for c in VITAL_COLUMNS if c != "event_ts"],
-                    F.expr(LATE_TS).alias("event_ts"), F.expr(LATE_COLS[0].split(" AS ")[0]).alias("seq"))
+                    F.expr(LATE_TS).alias("event_ts"), F.expr(LATE_COLS[0].rsplit(" AS ", 1)[0]).alias("seq"))
 
 
 def labs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,22 +75,36 @@ class TableStore:
         """Write the rows of ``df`` whose ``keys`` are not stored yet; return that count.
 
         Within the batch the first row per key (by ``order``, then all columns) wins.
-        ``prune_cols`` are extra equality columns that are functions of the key (e.g. the
-        event date of an event id): they let the anti join touch only matching stored
-        partitions instead of the whole history.
+        ``prune_cols`` are partition columns that are functions of the key (e.g. the event
+        date of an event id). Rows are stored as ``batch_id=N/<prune_cols>=v``, and the anti
+        join reads only the stored partitions whose values occur in this batch (a handful
+        of dates per micro-batch) instead of the whole history.
         """
         from vigil.operators.events import dedup_first
 
-        keys = list(keys)
+        keys, prune_cols = list(keys), list(prune_cols)
         p = self.path(table)
-        batch = dedup_first(df, keys, list(order) or keys)
+        batch = dedup_first(df, keys + prune_cols, list(order) or keys)
         if self._has_data(p):
-            stored = (self.spark.read.parquet(p).filter(F.col("batch_id") != F.lit(batch_id))
-                      .select(*keys, *prune_cols).distinct())
+            stored = self.spark.read.parquet(p).filter(F.col("batch_id") != F.lit(batch_id))
+            if prune_cols:
+                # distinct partition values of one batch: a few rows, used as a static filter
+                values = batch.select(*prune_cols).distinct().collect()
+                cond = F.lit(False)
+                for v in values:
+                    one = F.lit(True)
+                    for c in prune_cols:
+                        one = one & (F.col(c) == F.lit(v[c]))
+                    cond = cond | one
+                stored = stored.filter(cond)
+            stored = stored.select(*keys, *prune_cols).distinct()
             batch = batch.join(stored, on=[*keys, *prune_cols], how="left_anti")
         target = f"{p}/batch_id={batch_id}"
         staging = f"{p}/_staging_{uuid.uuid4().hex}"
-        batch.write.mode("overwrite").parquet(staging)  # computed once, read back below
+        writer = batch.write.mode("overwrite")
+        if prune_cols:
+            writer = writer.partitionBy(*prune_cols)
+        writer.parquet(staging)  # computed once, counted from the written files
         self._delete(target)
         self._fs.rename(self._Path(staging), self._Path(target))
         return self.spark.read.parquet(target).count()
@@ -155,6 +169,16 @@ class TableStore:
             self._delete(f"{p}/{old}")
 
 
+def new_rows(batch: DataFrame, stored_keys: DataFrame, keys: Sequence[str],
+             order: Sequence[str] = ()) -> DataFrame:
+    """The rows an insert-if-absent would write: first row per key within the batch,
+    minus keys already stored (``left_anti``)."""
+    from vigil.operators.events import dedup_first
+    keys = list(keys)
+    first = dedup_first(batch, keys, list(order) or keys)
+    return first.join(stored_keys.select(*keys).distinct(), on=keys, how="left_anti")
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Last row per key by ``order`` (a partial aggregate, skew-safe)."""
     rest = [c for c in df.columns if c not in keys and c != order]
