@@ -19,7 +19,7 @@ class LabFileError(ValueError):
 
 def _headers(spark: SparkSession, path: str) -> DataFrame:
     """First line of every file (one small row per file)."""
-    lines = (spark.read.text(path)
+    lines = (spark.read.option("recursiveFileLookup", True).text(path)
              .select("value", F.col("_metadata.file_path").alias("file"),
                      F.col("_metadata.file_block_start").alias("block"),
                      F.monotonically_increasing_id().alias("mid")))
@@ -54,6 +54,7 @@ def read_lab_files(spark: SparkSession, path: str,
     for names, files in groups.items():
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         df = (spark.read.option("header", True).option("mode", "PERMISSIVE").schema(schema)
+              .option("recursiveFileLookup", True)
               .csv(files)
               .select(*[F.col(c) for c in required],
                       F.col("_metadata.file_path").alias("source_file"),

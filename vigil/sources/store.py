@@ -107,7 +107,7 @@ class TableStore:
         writer.parquet(staging)  # computed once, counted from the written files
         self._delete(target)
         self._fs.rename(self._Path(staging), self._Path(target))
-        return self.spark.read.parquet(target).count()
+        return self.spark.read.parquet(target).count() if self._has_data(target) else 0
 
     # ------------------------------------------------------------------ replace partitions
     def replace_partitions(self, df: DataFrame, table: str, part_cols: Sequence[str],
