@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import functools
+import sys
 
 import pandas as pd
 from pyspark.sql import Column
@@ -84,7 +85,13 @@ def _lab_batch(result: pd.Series, rng: pd.Series, collected: pd.Series) -> pd.Da
 
 @functools.cache
 def _udf(name: str):
-    """pandas UDFs are built on first use (building one needs an active session)."""
+    """pandas UDFs are built on first use (building one needs an active session).
+
+    This module is pickled by value, so executors run the parsers without having this
+    package installed or on their path.
+    """
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     fn, rtype = {"float": (_float_batch, "string"),
                  "range": (_range_batch, "struct<lower:string, upper:string>"),
                  "iso": (_iso_batch, "string"),
@@ -127,15 +134,43 @@ def parse_iso_ts(col: Column) -> Column:
     return _iso_text(col).try_cast("timestamp")
 
 
+# Shapes on which Spark's casts and Python's parsers provably agree. Rows whose fields all
+# have such a shape are parsed in the JVM; only the others go through the Python parsers.
+SIMPLE_FLOAT = r"^[+-]?[0-9]+(\.[0-9]+)?$"
+SIMPLE_RANGE = r"^([0-9]+(\.[0-9]+)?-[+-]?[0-9]+(\.[0-9]+)?)?$"
+SIMPLE_ISO = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
+              r"([T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?(Z|[+-](0[0-9]|1[0-7]):[0-5][0-9])?)?$")
+
+
+def simple_lab_fields(result: Column, rng: Column, collected: Column) -> Column:
+    """True when all three (stripped) fields have a JVM-safe shape."""
+    return result.rlike(SIMPLE_FLOAT) & rng.rlike(SIMPLE_RANGE) & collected.rlike(SIMPLE_ISO)
+
+
+def parse_lab_fields_jvm(result: Column, rng: Column, collected: Column) -> Column:
+    """Built-in twin of :func:`parse_lab_fields` for rows passing :func:`simple_lab_fields`."""
+    dash = F.instr(rng, "-")
+    lower = F.when(dash > 0, F.substring_index(rng, "-", 1).try_cast("double"))
+    upper = F.when(dash > 0, rng.substr(dash + 1, F.length(rng)).try_cast("double"))
+    return F.struct(result.try_cast("double").alias("result"), lower.alias("lower"),
+                    upper.alias("upper"), collected.try_cast("timestamp").alias("collected"))
+
+
 def parse_lab_fields(result: Column, rng: Column, collected: Column) -> Column:
-    """The three lab parsers in one Python pass: struct(result, lower, upper, collected)
-    with the types and NULL rules of :func:`parse_float`, :func:`parse_range` and
-    :func:`parse_iso_ts`."""
-    r = _udf("lab")(result, rng, collected)
-    return F.struct(r["result"].try_cast("double").alias("result"),
-                    r["lower"].try_cast("double").alias("lower"),
-                    r["upper"].try_cast("double").alias("upper"),
-                    r["collected"].try_cast("timestamp").alias("collected"))
+    """The three lab parsers in one pass: struct(result, lower, upper, collected) with the
+    types and NULL rules of :func:`parse_float`, :func:`parse_range`, :func:`parse_iso_ts`.
+
+    Rows whose fields all have a common shape are parsed by built-in casts; only the other
+    rows reach Python (the Python input is NULL for the rest, a no-op in the batch loop).
+    """
+    simple = simple_lab_fields(result, rng, collected)
+    hard = [F.when(~simple, c) for c in (result, rng, collected)]
+    py = _udf("lab")(*hard)
+    exact = F.struct(py["result"].try_cast("double").alias("result"),
+                     py["lower"].try_cast("double").alias("lower"),
+                     py["upper"].try_cast("double").alias("upper"),
+                     py["collected"].try_cast("timestamp").alias("collected"))
+    return F.when(simple, parse_lab_fields_jvm(result, rng, collected)).otherwise(exact)
 
 
 def parse_event_time(col: Column) -> Column:

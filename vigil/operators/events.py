@@ -15,6 +15,7 @@ from vigil import config
 from vigil.functions import rules as R
 from vigil.functions.numeric import to_decimal2
 from vigil.functions.parse import parse_event_time
+from vigil.operators.common import evaluate_once
 from vigil.schemas import EVENT_FIELDS, EVENT_SCHEMA, VITAL_MEASURES
 
 
@@ -30,8 +31,10 @@ def decode_payload(df: DataFrame, value_col: str = "value", key_col: str | None
     raw = F.col(value_col).cast("string")
     key = F.col(key_col).cast("string") if key_col and key_col in df.columns else F.lit(None).cast("string")
     parsed = F.from_json(raw, schema)
-    return df.select(*[parsed.getField(f.name).alias(f.name) for f in schema.fields],
-                     raw.alias("raw_value"), key.alias("kafka_key"))
+    # parsed once per message: the validity filter pushed down later must not re-inline
+    # from_json once per field reference
+    return evaluate_once(df.select(*[parsed.getField(f.name).alias(f.name) for f in schema.fields],
+                                   raw.alias("raw_value"), key.alias("kafka_key")))
 
 
 def publish_encode(df: DataFrame, key_col: str = "patient_id", ts_col: str = "event_ts",

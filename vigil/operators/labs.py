@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vigil import config
 from vigil.functions import rules as R
 from vigil.functions.parse import parse_float, parse_lab_fields, parse_range, strip
+from vigil.operators.common import evaluate_once
 
 LAB_TEXT = ("patient_id", "test_type", "result_value", "reference_range", "collected_at")
 
@@ -22,11 +23,11 @@ def lab_checks(df: DataFrame) -> DataFrame:
     """Stripped text (``t_*``) and parsed values (``__result``, ``__lo``, ``__hi``,
     ``__collected``), each computed once per row in two projections."""
     t = df.select("*", *[_stripped(c).alias(f"t_{c}") for c in LAB_TEXT])
-    parsed = t.withColumn("__p", parse_lab_fields(F.col("t_result_value"), F.col("t_reference_range"),
-                                                  F.col("t_collected_at")))
-    return parsed.select("*", *[F.col(f"__p.{a}").alias(b) for a, b in (
+    fields = (F.col("t_result_value"), F.col("t_reference_range"), F.col("t_collected_at"))
+    parsed = t.withColumn("__p", parse_lab_fields(*fields))
+    return evaluate_once(parsed.select("*", *[F.col(f"__p.{a}").alias(b) for a, b in (
         ("result", "__result"), ("lower", "__lo"), ("upper", "__hi"), ("collected", "__collected"))]
-    ).drop("__p")
+    ).drop("__p"))
 
 
 def first_six_reasons(allowed_tests: Sequence[str] = config.ALLOWED_TEST_TYPES) -> Column:

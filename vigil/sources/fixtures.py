@@ -88,9 +88,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- Spark side
 
+def _once(df: DataFrame, exprs: list[str]) -> DataFrame:
+    """Project ``exprs`` through ``inline(array(struct(..)))``: the values become attributes
+    of a Generate, so later predicates are not rewritten to re-evaluate the JSON lookups."""
+    return df.selectExpr(f"inline(array(struct({', '.join(exprs)})))")
+
+
 def vitals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vital events with injected invalid values, abnormal values and exact copies."""
-    e = read_table(spark, sf_dir, "events").selectExpr(*_exprs(E_COLS, "spark"))
+    e = _once(read_table(spark, sf_dir, "events"), _exprs(E_COLS, "spark"))
     v = e.selectExpr(*_exprs(V_COLS, "spark"))
     return v.unionByName(v.filter(DUP_FILTER))
 
