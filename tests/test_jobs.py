@@ -35,3 +35,24 @@ def test_reconcile_twice_gives_same_tables(spark, workdir):
     processed = {r.run_id: r.records_processed for r in runs.collect()}
     for d in dates[1:]:
         assert processed[f"scheduled__{d}"] == counts[d]
+
+
+def test_empty_input_raises(spark, workdir):
+    import datetime as dt
+
+    import pytest
+
+    from vigil.plans.reconcile import DataQualityError
+    st = TableStore(spark, workdir)
+    labs = FX.labs(spark, SF001)
+    with pytest.raises(DataQualityError):
+        reconcile_daily(st, labs, [dt.date(2030, 1, 1)])
+
+
+def test_gate_enforcement_raises_first_failure(spark):
+    import pytest
+
+    from vigil.plans.reconcile import DataQualityError, enforce_gate
+    gate = C.gate_frame(spark, SF001)
+    with pytest.raises(DataQualityError, match="Quality gate failed"):
+        enforce_gate(gate)

@@ -114,16 +114,24 @@ def _iso_text(col: Column) -> Column:
 
 def parse_float(col: Column) -> Column:
     """DOUBLE if ``col`` is a float literal in Python's grammar (blanks around allowed,
-    '1_0', 'inf', 'nan'), else NULL."""
-    return _float_text(col).try_cast("double")
+    '1_0', 'inf', 'nan'), else NULL. Plain decimals are cast in the JVM."""
+    simple = col.rlike(SIMPLE_FLOAT)
+    exact = _float_text(F.when(~simple, col)).try_cast("double")
+    return F.when(simple, col.try_cast("double")).otherwise(exact)
 
 
 def parse_range(col: Column) -> Column:
     """Split at the first '-' into ``struct(lower, upper)`` doubles; NULL when either fails
-    (so '-1.0-5.0', '1e-5-2', '12' and '5-' are invalid)."""
-    r = _range_text(col)
-    return F.when(r["lower"].isNotNull(), F.struct(r["lower"].try_cast("double").alias("lower"),
-                                                    r["upper"].try_cast("double").alias("upper")))
+    (so '-1.0-5.0', '1e-5-2', '12' and '5-' are invalid). Plain 'a-b' is split in the JVM."""
+    simple = col.rlike(SIMPLE_RANGE)
+    r = _range_text(F.when(~simple, col))
+    exact = F.when(r["lower"].isNotNull(), F.struct(r["lower"].try_cast("double").alias("lower"),
+                                                     r["upper"].try_cast("double").alias("upper")))
+    dash = F.instr(col, "-")
+    fast = F.when(dash > 0, F.struct(
+        F.substring_index(col, "-", 1).try_cast("double").alias("lower"),
+        col.substr(dash + 1, F.length(col)).try_cast("double").alias("upper")))
+    return F.when(simple, fast).otherwise(exact)
 
 
 def parse_iso_ts(col: Column) -> Column:

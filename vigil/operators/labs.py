@@ -95,10 +95,10 @@ def out_of_range(value: Column, lower: Column, upper: Column) -> Column:
 
 def lab_flags(staged: DataFrame) -> DataFrame:
     """Per staged row: parsed bounds and the out-of-range flag (unparseable -> not counted)."""
-    rng = parse_range(F.col("reference_range"))
-    flagged = staged.withColumn("__rng", rng).withColumn("__value", parse_float(F.col("result_value")))
+    parsed = evaluate_once(staged.withColumn("__rng", parse_range(F.col("reference_range")))
+                           .withColumn("__value", parse_float(F.col("result_value"))))
     flag = out_of_range(F.col("__value"), F.col("__rng.lower"), F.col("__rng.upper"))
-    return flagged.withColumn("out_of_range", flag).drop("__rng", "__value")
+    return parsed.withColumn("out_of_range", flag).drop("__rng", "__value")
 
 
 def lab_evidence(staged: DataFrame, day_col: str = "sim_date") -> DataFrame:

@@ -67,6 +67,7 @@ def reconcile_daily(store: TableStore, labs: DataFrame, dates: Sequence[dt.date]
         dates = sorted(r["sim_date"] for r in labs.select("sim_date").distinct().collect())
     dates = list(dates)
     in_scope = labs.filter(F.col("sim_date").isin(dates))
+    RC.require_rows(in_scope, f"No lab rows for {', '.join(str(d) for d in dates) or 'any date'}.")
     open_runs(store, dates)
 
     validated = LB.validate_labs(in_scope, seq_col=seq_col).checkpoint(eager=True)

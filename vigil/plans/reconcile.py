@@ -150,6 +150,12 @@ class DataQualityError(ValueError):
     """Raised when a required-rows guard or a quality-gate check fails."""
 
 
+def require_rows(df: DataFrame, message: str) -> None:
+    """Raise :class:`DataQualityError` when ``df`` has no row (a LIMIT 1 probe)."""
+    if df.isEmpty():
+        raise DataQualityError(message)
+
+
 def enforce_gate(gate: DataFrame) -> None:
     """Raise on the first failed date (ordered by date); collects at most one row."""
     failed = gate.filter(F.col("status") != "passed").orderBy(gate.columns[0]).limit(1).collect()
