@@ -97,20 +97,20 @@ def _once(df: DataFrame, exprs: list[str]) -> DataFrame:
 def vitals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vital events with injected invalid values, abnormal values and exact copies."""
     e = _once(read_table(spark, sf_dir, "events"), _exprs(E_COLS, "spark"))
-    v = e.selectExpr(*_exprs(V_COLS, "spark"))
+    v = _once(e, _exprs(V_COLS, "spark"))
     return v.unionByName(v.filter(DUP_FILTER))
 
 
 def vitals_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events with an arrival order ``seq`` and some stamped 3 s early."""
     v = vitals(spark, sf_dir)
-    return v.select(*[c for c in VITAL_COLUMNS if c != "event_ts"],
-                    F.expr(LATE_TS).alias("event_ts"), F.expr(LATE_COLS[0].rsplit(" AS ", 1)[0]).alias("seq"))
+    cols = [c for c in VITAL_COLUMNS if c != "event_ts"] + [f"{LATE_TS} AS event_ts", LATE_COLS[0]]
+    return _once(v, cols)
 
 
 def labs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily lab rows (all text, as in the CSV file) with every reject reason present."""
-    return read_table(spark, sf_dir, "orders").selectExpr(*_exprs(LAB_COLS, "spark"))
+    return _once(read_table(spark, sf_dir, "orders"), _exprs(LAB_COLS, "spark"))
 
 
 def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
