@@ -74,8 +74,12 @@ def write_raw_batch(store: TableStore):
     """K5 callback: insert-if-absent on event_id, pruned by event date."""
     def run(batch: DataFrame, batch_id: int) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        store.insert_if_absent(raw_rows(batch, now), "raw_vitals", ["event_id"], batch_id,
-                               order=["event_ts"], prune_cols=["event_date"])
+        batch = batch.persist()  # read for the partition values and for the write
+        try:
+            store.insert_if_absent(raw_rows(batch, now), "raw_vitals", ["event_id"], batch_id,
+                                   order=["event_ts"], prune_cols=["event_date"])
+        finally:
+            batch.unpersist()
     return run
 
 
@@ -85,11 +89,16 @@ def write_trend_batch(store: TableStore):
         batch = batch.persist()
         try:
             stored = EV.store_decimals(batch)
-            store.insert_if_absent(stored, "vitals_trends",
-                                   ["patient_id", "window_start", "window_end"], batch_id)
+            # the date of a window (of an alert) is a function of its key: stored rows are
+            # partitioned by it, and the anti join reads only the dates of this batch
+            store.insert_if_absent(stored.withColumn("window_date", F.to_date("window_start")),
+                                   "vitals_trends", ["patient_id", "window_start", "window_end"],
+                                   batch_id, prune_cols=["window_date"])
             alerts = EV.derive_alerts(stored, flag_col="risk_flag_realtime")
-            store.insert_if_absent(alerts, "alerts", ["patient_id", "rule_triggered", "severity",
-                                                      "triggered_at", "source_layer"], batch_id)
+            store.insert_if_absent(alerts.withColumn("alert_date", F.to_date("triggered_at")),
+                                   "alerts", ["patient_id", "rule_triggered", "severity",
+                                              "triggered_at", "source_layer"],
+                                   batch_id, prune_cols=["alert_date"])
         finally:
             batch.unpersist()
     return run
