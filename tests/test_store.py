@@ -42,3 +42,17 @@ def test_upsert_keeps_first_admission(spark, workdir):
     st.upsert(b2, "patients", ["patient_id"], keep_first=["admitted_at"], order="seq")
     got = {r.patient_id: (r.hr, r.admitted_at) for r in st.read("patients").collect()}
     assert got == {"P1": (60, t0), "P2": (72, t0), "P3": (80, t0)}
+
+
+def test_compaction_keeps_rows_and_replays_stay_idempotent(spark, workdir):
+    st = TableStore(spark, workdir)
+    for b in range(4):
+        st.insert_if_absent(_events(spark, [b, b + 1]), "raw", ["event_id"], b, prune_cols=["event_date"])
+    before = sorted(r.event_id for r in st.read("raw").collect())
+    assert st.compact("raw", ["event_id"], up_to_batch=2, prune_cols=["event_date"]) == 3
+    after = st.read("raw")
+    assert sorted(r.event_id for r in after.collect()) == before
+    assert after.select("batch_id").distinct().count() == 2
+    # replaying a merged batch inserts nothing
+    assert st.insert_if_absent(_events(spark, [1, 2]), "raw", ["event_id"], 1, prune_cols=["event_date"]) == 0
+    assert sorted(r.event_id for r in st.read("raw").collect()) == before

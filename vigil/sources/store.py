@@ -109,6 +109,39 @@ class TableStore:
         self._fs.rename(self._Path(staging), self._Path(target))
         return self.spark.read.parquet(target).count() if self._has_data(target) else 0
 
+    def compact(self, table: str, keys: Sequence[str], up_to_batch: int,
+                order: Sequence[str] = (), prune_cols: Sequence[str] = ()) -> int:
+        """Merge the ``batch_id <= up_to_batch`` folders of an insert-if-absent table into one.
+
+        Micro-batches leave one small folder each; compaction rewrites them (deduplicated on
+        the key, so an interrupted earlier compaction heals) as ``batch_id=-(up_to_batch+1)``,
+        swaps it in, and only then deletes the merged folders. A replay of a merged batch
+        later is anti-joined against the compacted folder and inserts nothing. Returns the
+        number of folders merged.
+        """
+        from vigil.operators.events import dedup_first
+
+        p = self.path(table)
+        names = [c for c in self._children(p) if c.startswith("batch_id=")]
+        merged = [c for c in names if int(c.split("=", 1)[1]) <= up_to_batch]
+        if len(merged) < 2:
+            return 0
+        ids = [int(c.split("=", 1)[1]) for c in merged]
+        rows = self.spark.read.parquet(p).filter(F.col("batch_id").isin(ids)).drop("batch_id")
+        compacted = dedup_first(rows, list(keys) + list(prune_cols), list(order) or list(keys))
+        staging = f"{p}/_staging_{uuid.uuid4().hex}"
+        writer = compacted.write.mode("overwrite")
+        if prune_cols:
+            writer = writer.partitionBy(*prune_cols)
+        writer.parquet(staging)
+        target = f"{p}/batch_id={-(up_to_batch + 1)}"
+        self._delete(target)
+        self._fs.rename(self._Path(staging), self._Path(target))
+        for c in merged:
+            if c != target.rsplit("/", 1)[1]:
+                self._delete(f"{p}/{c}")
+        return len(merged)
+
     # ------------------------------------------------------------------ replace partitions
     def replace_partitions(self, df: DataFrame, table: str, part_cols: Sequence[str],
                            scope: Iterable[dict]) -> dict:
