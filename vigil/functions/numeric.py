@@ -22,7 +22,7 @@ def to_decimal2(col: Column, precision: int) -> Column:
 
 def percentage(part: Column, whole: Column, places: int = 2) -> Column:
     """P10: ``round(part / whole * 100, places)``, 0.0 when ``whole`` is not positive."""
-    return F.when(whole > 0, F.round(part.cast("double") / whole * 100, places)).otherwise(F.lit(0.0))
+    return F.when(whole > 0, round_stable(part.cast("double") / whole * 100, places)).otherwise(F.lit(0.0))
 
 
 def seconds_between(start: Column, end: Column) -> Column:

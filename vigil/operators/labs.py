@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vigil import config
 from vigil.functions import rules as R
 from vigil.functions.parse import parse_float, parse_lab_fields, parse_range, strip
+from vigil.functions.numeric import round_stable
 from vigil.operators.common import evaluate_once
 
 LAB_TEXT = ("patient_id", "test_type", "result_value", "reference_range", "collected_at")
@@ -124,5 +125,5 @@ def defect_profile(validated: DataFrame, day_col: str = "sim_date") -> DataFrame
         aggs.append(F.count_if(F.col("reason") == r).alias(f"n_{r}"))
     out = validated.groupBy(day_col).agg(*aggs)
     return out.select(day_col, "input_rows", "accepted_rows",
-                      *[F.round(F.col(f"n_{r}") / F.col("input_rows"), 4).alias(f"share_{r}")
+                      *[round_stable(F.col(f"n_{r}") / F.col("input_rows")).alias(f"share_{r}")
                         for r in config.LAB_REASONS])

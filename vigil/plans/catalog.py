@@ -328,7 +328,7 @@ def q_lab_patients(spark, sf_dir):
 @register("lab_defect_profile", _labs_sql() + ", ".join([""] + []) + """
 SELECT sim_date, count(*) AS input_rows, count(*) FILTER (WHERE reason IS NULL) AS accepted_rows,
 """ + ",\n".join(
-    f"  round(CAST(count(*) FILTER (WHERE reason = '{r}') AS DOUBLE) / count(*), 4) AS share_{r}"
+    f"  {S.r4(f'CAST(count(*) FILTER (WHERE reason = {chr(39)}{r}{chr(39)}) AS DOUBLE) / count(*)')} AS share_{r}"
     for r in ("missing_patient_id", "invalid_test_type", "invalid_result", "missing_reference_range",
               "invalid_reference_range", "invalid_collected_at", "duplicate_patient_test"))
     + "\nFROM lv GROUP BY sim_date")
@@ -537,12 +537,12 @@ def q_recent_alerts(spark, sf_dir):
 
 
 @register("kpis", "WITH " + FX.vitals_cte() + "," + S.speed_ctes() + "," + FX.patients_cte() + ","
-          + _LATEST_SQL + "," + _alerts_sql() + """,
+          + _LATEST_SQL + "," + _alerts_sql() + f""",
 k AS (SELECT (SELECT count(*) FROM patients) AS active_patients,
   (SELECT count(*) FROM latest_t WHERE risk_flag_realtime IN ('watch', 'elevated')) AS watch_or_elevated_patients,
   (SELECT count(*) FROM alerts_t WHERE resolved_at IS NULL) AS active_alerts)
 SELECT active_patients, watch_or_elevated_patients,
-  CASE WHEN active_patients > 0 THEN round(CAST(watch_or_elevated_patients AS DOUBLE) / active_patients * 100, 2)
+  CASE WHEN active_patients > 0 THEN {S.r4('CAST(watch_or_elevated_patients AS DOUBLE) / active_patients * 100', 2)}
        ELSE 0.0 END AS risk_percentage, active_alerts FROM k""")
 def q_kpis(spark, sf_dir):
     return SV.kpis(FX.patients(spark, sf_dir), stored_trends(spark, sf_dir), alerts_table(spark, sf_dir))
