@@ -8,9 +8,9 @@ straggler. This version is exact and bounded per task:
 2. *Inside a bucket*: probes and facts of the same (key, b) are unioned and the latest fact
    at or before each probe is carried forward with ``last(.., ignorenulls)``; a group is at
    most one bucket of one key.
-3. *Earlier buckets*: facts are reduced to the latest fact per (key, b) (``max_by``, a
-   partial aggregate), then the same carry-forward runs over one row per (key, bucket),
-   giving the latest fact of any earlier bucket for every probe bucket.
+3. *Earlier buckets*: the windowed rows are reduced to the latest fact per (key, b)
+   (``max_by``; the rows are already partitioned by (key, b), so no shuffle), then a
+   carry-forward over one row per (key, bucket) gives the latest fact of any earlier bucket.
 4. The in-bucket match wins when present (it is always later); otherwise the earlier one.
 
 All steps are hash-partitioned shuffles with no per-key list on the driver.
@@ -38,42 +38,35 @@ def asof_join(probes: DataFrame, facts: DataFrame, by: Sequence[str], probe_ts:
     """
     by = list(by)
     fact_cols = list(fact_cols)
-    payload_fields = [fact_ts] + [c for c in fact_cols if c != fact_ts]
-    payload = F.struct(*[F.col(c).alias(c) for c in payload_fields])
-
-    f = facts.select(*by, _bucket(fact_ts, bucket_seconds).alias("__b"),
-                     F.col(fact_ts).alias("__t"), payload.alias("__fact"))
-    p = probes.withColumn("__b", _bucket(probe_ts, bucket_seconds)).withColumn("__t", F.col(probe_ts))
     probe_cols = probes.columns
+    payload = F.struct(*[F.col(c).alias(c) for c in [fact_ts] + [c for c in fact_cols if c != fact_ts]])
+    probe_struct = F.struct(*[F.col(c) for c in probe_cols])
+
+    f = facts.select(*by, _bucket(fact_ts, bucket_seconds).alias("__b"), F.col(fact_ts).alias("__t"),
+                     F.lit(0).alias("__is_probe"), payload.alias("__fact"))
+    p = probes.select(*by, _bucket(probe_ts, bucket_seconds).alias("__b"), F.col(probe_ts).alias("__t"),
+                      F.lit(1).alias("__is_probe"), probe_struct.alias("__probe"))
+    fact_type, probe_type = f.schema["__fact"].dataType, p.schema["__probe"].dataType
+    rows = (p.withColumn("__fact", F.lit(None).cast(fact_type))
+            .unionByName(f.withColumn("__probe", F.lit(None).cast(probe_type))))
 
-    # step 2: in-bucket carry-forward; facts sort before probes at equal time (inclusive bound)
-    inner_rows = (p.select(*by, "__b", "__t", F.lit(1).alias("__is_probe"),
-                           F.struct(*[F.col(c) for c in probe_cols]).alias("__probe"),
-                           F.lit(None).cast(f.schema["__fact"].dataType).alias("__fact"))
-                  .unionByName(f.select(*by, "__b", "__t", F.lit(0).alias("__is_probe"),
-                                        F.lit(None).cast(p.select(F.struct(*[F.col(c) for c in probe_cols])).schema[0].dataType).alias("__probe"),
-                                        "__fact")))
+    # step 2: in-bucket carry-forward; facts sort before probes at equal time (inclusive)
     w_in = (Window.partitionBy(*by, "__b").orderBy("__t", "__is_probe", "__fact")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inner = (inner_rows.withColumn("__in", F.last("__fact", ignorenulls=True).over(w_in))
-             .filter(F.col("__is_probe") == 1)
-             .select(*by, "__b", "__probe", "__in"))
+    carried = rows.withColumn("__in", F.last("__fact", ignorenulls=True).over(w_in))
 
-    # step 3: latest fact per (key, bucket), carried to later probe buckets
-    per_bucket = f.groupBy(*by, "__b").agg(F.max_by("__fact", F.struct("__t", "__fact")).alias("__fact"))
-    probe_buckets = p.select(*by, "__b").distinct()
-    outer_rows = (probe_buckets.select(*by, "__b", F.lit(0).alias("__is_fact"),
-                                       F.lit(None).cast(f.schema["__fact"].dataType).alias("__fact"))
-                  .unionByName(per_bucket.select(*by, "__b", F.lit(1).alias("__is_fact"), "__fact")))
-    # probe rows sort before the fact summary of their own bucket: only earlier buckets count
-    w_out = (Window.partitionBy(*by).orderBy("__b", "__is_fact")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    earlier = (outer_rows.withColumn("__prev", F.last("__fact", ignorenulls=True).over(w_out))
-               .filter(F.col("__is_fact") == 0).select(*by, "__b", "__prev"))
+    # step 3: one summary row per (key, bucket), then the latest fact of earlier buckets
+    summary = carried.groupBy(*by, "__b").agg(
+        # the carried value at the bucket's last row (window order) is its latest fact
+        F.max_by("__in", F.struct("__t", "__is_probe", "__fact")).alias("__last"),
+        F.max(F.col("__is_probe")).alias("__has_probe"))
+    w_out = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (summary.withColumn("__prev", F.last("__last", ignorenulls=True).over(w_out))
+               .filter(F.col("__has_probe") == 1).select(*by, "__b", "__prev"))
 
+    inner = carried.filter(F.col("__is_probe") == 1).select(*by, "__b", "__probe", "__in")
     joined = inner.join(earlier, on=[*by, "__b"], how="left")
     best = F.coalesce(F.col("__in"), F.col("__prev"))
-    out = joined.select(*[F.col("__probe." + c).alias(c) for c in probe_cols],
-                        *[best.getField(c).alias(c) for c in fact_cols if c not in probe_cols],
-                        best.isNotNull().alias(matched_col))
-    return out
+    return joined.select(*[F.col("__probe." + c).alias(c) for c in probe_cols],
+                         *[best.getField(c).alias(c) for c in fact_cols if c not in probe_cols],
+                         best.isNotNull().alias(matched_col))
