@@ -117,6 +117,8 @@ def start_speed_layer(spark: SparkSession, source: DataFrame, store: TableStore,
     trig = trigger or {"processingTime": config.TRIGGER_INTERVAL}
     valid, invalid = validated_events(source)
     dlq = EV.dead_letter(invalid)
+    if dlq_format == "kafka":  # the connector's contract: key and value only
+        dlq = dlq.select(F.col("kafka_key").alias("key"), F.col("value"))
     dlq_writer = (dlq.writeStream.outputMode("append").format(dlq_format)
                   .option("checkpointLocation", f"{checkpoint_root}/dlq").trigger(**trig))
     if dlq_format == "kafka":
