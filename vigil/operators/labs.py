@@ -44,25 +44,39 @@ def first_six_reasons(allowed_tests: Sequence[str] = config.ALLOWED_TEST_TYPES)
     return rs.first_failure()
 
 
-def validate_labs(df: DataFrame, seq_col: str = "seq", day_col: str = "sim_date",
-                  allowed_tests: Sequence[str] = config.ALLOWED_TEST_TYPES) -> DataFrame:
-    """V5 + V6: every input row with ``reason`` (NULL = accepted) and trimmed values.
+def checked_labs(df: DataFrame,
+                 allowed_tests: Sequence[str] = config.ALLOWED_TEST_TYPES) -> DataFrame:
+    """V5 rules 1-6: trimmed and parsed values plus ``reason6`` (the expensive part)."""
+    return lab_checks(df).withColumn("reason6", first_six_reasons(allowed_tests))
 
-    The duplicate rule only looks at rows that passed the other six: per (day, patient,
-    test) the smallest ``seq`` among them is kept. It is computed as a grouped minimum
-    joined back, not a window: the minimum is a partial aggregate, and AQE splits a hot key
-    in the join, so a key holding a large share of rows is never sorted in one task.
+
+def first_wins(checked: DataFrame, seq_col: str = "seq", day_col: str = "sim_date") -> DataFrame:
+    """V6 over :func:`checked_labs` rows: the final ``reason`` (NULL = accepted).
+
+    Only rows that passed the other six rules compete: per (day, patient, test) the smallest
+    ``seq`` among them is kept. It is a grouped minimum joined back, not a window: the
+    minimum is a partial aggregate, and AQE splits a hot key in the join, so a key holding
+    a large share of rows is never sorted in one task.
     """
-    base = lab_checks(df).withColumn("reason6", first_six_reasons(allowed_tests))
     keys = [day_col, "t_patient_id", "t_test_type"]
-    firsts = (base.filter(F.col("reason6").isNull())
+    firsts = (checked.filter(F.col("reason6").isNull())
               .groupBy(*keys).agg(F.min(seq_col).alias("__first_seq")))
-    joined = base.join(firsts, on=keys, how="left")
+    joined = checked.join(firsts, on=keys, how="left")
     dup = F.col("reason6").isNull() & (F.col(seq_col) > F.col("__first_seq"))
     reason = F.coalesce(F.col("reason6"), F.when(dup, F.lit("duplicate_patient_test")))
     return joined.withColumn("reason", reason).drop("reason6", "__first_seq")
 
 
+def validate_labs(df: DataFrame, seq_col: str = "seq", day_col: str = "sim_date",
+                  allowed_tests: Sequence[str] = config.ALLOWED_TEST_TYPES) -> DataFrame:
+    """V5 + V6: every input row with ``reason`` (NULL = accepted) and trimmed values.
+
+    As one lazy plan the parse runs in both branches of the first-wins join; a job that
+    can materialise should checkpoint :func:`checked_labs` and apply :func:`first_wins`.
+    """
+    return first_wins(checked_labs(df, allowed_tests), seq_col, day_col)
+
+
 def accepted_labs(validated: DataFrame, day_col: str = "sim_date") -> DataFrame:
     """Staged rows (D10: trimmed values) with the UTC collection time."""
     return validated.filter(F.col("reason").isNull()).select(

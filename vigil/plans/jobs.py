@@ -70,7 +70,10 @@ def reconcile_daily(store: TableStore, labs: DataFrame, dates: Sequence[dt.date]
     RC.require_rows(in_scope, f"No lab rows for {', '.join(str(d) for d in dates) or 'any date'}.")
     open_runs(store, dates)
 
-    validated = LB.validate_labs(in_scope, seq_col=seq_col).checkpoint(eager=True)
+    # parse once (checkpointed), then the first-wins rule over the stored parse; the result
+    # feeds three consumers (rejected sink, per-date counts, staged sink), so it is cut too
+    checked = LB.checked_labs(in_scope).checkpoint(eager=True)
+    validated = LB.first_wins(checked, seq_col=seq_col).checkpoint(eager=True)
     rejected = LB.rejected_labs(validated, seq_col=seq_col, rejected_at=F.lit(_now()))
     store.replace_partitions(rejected, "rejected_rows", ["source", "sim_date"],
                              [{"source": config.LAB_SOURCE, "sim_date": d} for d in dates])
