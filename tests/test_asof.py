@@ -46,3 +46,12 @@ def test_day_end_bound_is_inclusive_and_midnight_goes_next_day(spark):
                                    "k string, sim_date date").withColumn("pts", day_end())
     got = {r.sim_date: r.v for r in asof_join(probes, facts, ["k"], "pts", "ts", ["v"]).collect()}
     assert got == {dt.date(2026, 9, 28): 1, dt.date(2026, 9, 29): 2}
+
+
+def test_report_day_boundaries(spark):
+    from vigil.plans.reconcile import report_day
+    ts = [dt.datetime(2026, 9, 28, 23, 59, 59), dt.datetime(2026, 9, 28, 23, 59, 59, 500000),
+          dt.datetime(2026, 9, 29, 0, 0, 0), dt.datetime(2026, 9, 28, 0, 0, 0)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ts)], "i int, t timestamp")
+    got = [r[0] for r in df.orderBy("i").select(report_day(F.col("t"))).collect()]
+    assert got == [dt.date(2026, 9, 28), dt.date(2026, 9, 29), dt.date(2026, 9, 29), dt.date(2026, 9, 28)]

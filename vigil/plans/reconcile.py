@@ -53,6 +53,22 @@ def day_end(day_col: str = "sim_date") -> Column:
     return F.col(day_col).cast("timestamp") + F.expr("INTERVAL 86399 SECONDS")
 
 
+def report_day(ts: Column) -> Column:
+    """The first report day whose bound (D 23:59:59) a time falls under: a window ending
+    at 23:59:59 counts for D, one ending later (up to and including midnight) for D+1."""
+    return F.to_date(ts + F.expr("INTERVAL 999999 MICROSECONDS"))
+
+
+def latest_per_report_day(trends: DataFrame, fact_cols: list[str]) -> DataFrame:
+    """One row per (patient, report day): its latest window, ties broken like the as-of
+    join (largest row). The latest trend on or before day D is the latest of these over the
+    days up to D, so the as-of join shuffles one row per patient-day instead of every
+    window; ``max(struct)`` is a partial aggregate, reduced before the shuffle."""
+    best = F.max(F.struct(*[F.col(c) for c in fact_cols])).alias("__best")
+    return (trends.groupBy("patient_id", report_day(F.col("window_end")).alias("__rd")).agg(best)
+            .select("patient_id", *[F.col("__best." + c).alias(c) for c in fact_cols]))
+
+
 def daily_risk_report(staged: DataFrame, trends: DataFrame, day_col: str = "sim_date",
                       with_evidence: bool = False) -> DataFrame:
     """J1 + J2 + A4 + P6..P9: one row per (day, patient with staged labs that day).
@@ -64,7 +80,7 @@ def daily_risk_report(staged: DataFrame, trends: DataFrame, day_col: str = "sim_
     evidence = lab_evidence(staged, day_col).withColumn("__probe_ts", day_end(day_col))
     fact_cols = ["window_end", "avg_hr", "avg_spo2", "avg_temp", "abnormal_count",
                  "risk_flag_realtime"]
-    joined = asof_join(evidence, trends.select("patient_id", *fact_cols), by=["patient_id"],
+    joined = asof_join(evidence, latest_per_report_day(trends, fact_cols), by=["patient_id"],
                        probe_ts="__probe_ts", fact_ts="window_end", fact_cols=fact_cols,
                        matched_col="trend_available")
 
