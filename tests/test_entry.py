@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF001
+from vigil.plans import catalog
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -46,10 +47,11 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(catalog.ORACLES) == set(catalog.QUERIES)
+    assert set(catalog.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF001)
     rows = [tuple(r) for r in df.collect()]

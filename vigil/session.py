@@ -58,13 +58,18 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) a fresh temporary folder is
-    registered, so lineage cuts always land in storage every executor can reach.
+    A cluster names it. Only a session that runs in one process (``local``) may go without:
+    it gets a fresh temporary folder; anywhere else a machine-local folder would not be seen
+    by the executors, so a missing setting is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         current = tempfile.mkdtemp(prefix="vigil-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(current)
     return current
