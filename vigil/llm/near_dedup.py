@@ -8,11 +8,13 @@ any global order is valid, rarity only shortens the lists). Pairs from the lists
 by the Jaccard estimate of the union sketch and confirmed on the full shingle sets.
 
 Large groups. Equal shingle sets are collapsed to one representative first. Pairs are then
-made in two rounds: every list links its members to one pivot (linear); after components are
-known, only pairs of *different* components of a list are still made, each against the
-members outside the list's largest component, so a group of near copies costs no pair of
-members that are already connected. Nothing is capped: the second round is the exact way for
-all that the first leaves open.
+made in two rounds. Every list first links its members to one pivot (linear): its most central
+member, whose values are the most shared. After components are known, only pairs of
+*different* components of a list are still open. Their documents are joined anew on their
+full sets, again by prefixes of the rarest shingles, with the exact threshold and the position
+of the match bounding the overlap: a copy with many edits has its own shingles in its prefix
+and meets few others. Nothing is capped: the second round is the exact way for all that the
+first leaves open.
 """
 
 from __future__ import annotations
@@ -67,12 +69,23 @@ def _jaccard_linked(width: int, num: int, den: int):
     return run
 
 
+def _shingles(width: int):
+    def run(batches: Iterator[dict]) -> Iterator[dict]:
+        memo = WordHash()
+        for b in batches:
+            sets = [np.unique(shingle_hashes(memo.of(space_words(t)), width)).view(np.int64) for t in b["text"]]
+            memo.trim()
+            yield {"node": np.repeat(np.array(b["doc_id"], np.int64), [len(x) for x in sets]),
+                   "h": np.concatenate(sets)}
+    return run
+
+
 def _sizes_fit(a: Column, b: Column, num: int, den: int) -> Column:
     return (F.lit(den) * F.least(a, b)) >= (F.lit(num) * F.greatest(a, b))
 
 
 def _confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, k: int,
-             num: int, den: int) -> DataFrame:
+             num: int, den: int, texts: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b) of representatives whose full shingle sets reach the threshold."""
     sk = lambda c: reps.select(F.col("node").alias(c), F.col("sketch").alias(f"sk_{c}"))
     est = (pairs.join(sk("a"), "a").join(sk("b"), "b")
@@ -82,8 +95,8 @@ def _confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, k:
            .select("a", "b"))
     cand = materialize(est, "near-candidates")
     # texts of the candidates only; the hot side of a pair (a pivot) is spread by a salt
-    need = cand.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = materialize(docs.join(need, "doc_id", "left_semi"), "near-texts")
+    if texts is None:
+        texts = _texts_of(docs, cand.select(F.explode(F.array("a", "b")).alias("doc_id")))
     salts = cand.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / 256).cast("int").alias("salts"))
     spread = (texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
               .join(salts, "a")
@@ -96,6 +109,10 @@ def _confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, k:
     return map_rows(full, _jaccard_linked(width, num, den), "a long, b long")
 
 
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    return materialize(docs.join(ids.distinct(), "doc_id", "left_semi"), "near-texts")
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, num: int = 85, den: int = 100,
                     k: int = K) -> DataFrame:
     """Components of documents linked by ``den * |A & B| >= num * |A | B|`` on word shingles.
@@ -128,37 +145,50 @@ def near_duplicates(docs: DataFrame, width: int = 3, num: int = 85, den: int = 1
         listed.join(df, "value").groupBy("node", "n", "m")
         .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("shared"))
         .withColumn("left", (prefix_len - (F.col("m") - F.size("shared"))).cast("int"))
+        # how far from the centre of its group: values of its own, then how little shared
+        .withColumn("off", F.struct((F.col("m") - F.size("shared")).alias("own"),
+                                    F.aggregate("shared", F.lit(0).cast("long"), lambda t, v: t - v["df"]).alias("less")))
         .filter("left > 0")
-        .select("node", "n", F.explode(F.expr("slice(shared, 1, left)")).alias("s"))
-        .select("node", "n", F.col("s.value").alias("value")), "near-lists")
-
-    # round 1: every list against its smallest member
-    pivot = (prefix.groupBy("value").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("c"))
-             .filter("c > 1").select("value", "a"))
-    sizes = reps.select(F.col("node").alias("a"), F.col("n").alias("na"))
-    first = (prefix.join(pivot, "value").filter("node <> a")
-             .select("a", F.col("node").alias("b"), F.col("n").alias("nb")).distinct()
-             .join(sizes, "a").filter(_sizes_fit(F.col("na"), F.col("nb"), num, den))
-             .select("a", "b").distinct())
+        .select("node", "n", "off", F.explode(F.expr("slice(shared, 1, left)")).alias("s"))
+        .select("node", "n", "off", F.col("s.value").alias("value")), "near-lists")
+
+    # round 1: every list against its most central member
+    pivot = materialize(prefix.groupBy("value").agg(F.min(F.struct("off", "node", "n")).alias("p"),
+                                                    F.count(F.lit(1)).alias("c"))
+                        .filter("c > 1").select("value", F.col("p.node").alias("a"), F.col("p.n").alias("na")), "near-pivots")
+    first = (prefix.join(pivot, "value")
+             .filter((F.col("node") != F.col("a")) & _sizes_fit(F.col("na"), F.col("n"), num, den))
+             .select("a", F.col("node").alias("b")).distinct())
     edges = materialize(_confirm(first, reps, docs, width, k, num, den), "near-edges")
     comp = connected_components(edges)
 
     # round 2: what is still apart within a list, pivots aside
     placed = materialize(
-        prefix.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        .join(pivot, "value").filter("node <> a").drop("a"), "near-placed")
-    per = placed.groupBy("value", "comp").agg(F.count(F.lit(1)).alias("c"))
-    main = (per.groupBy("value").agg(F.max(F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("parts"))
-            .filter("parts > 1").select("value", F.col("top.comp").alias("main")))
-    open_lists = placed.join(main, "value")
-    x = open_lists.filter("comp <> main").select(
-        "value", "main", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-    y = open_lists.select("value", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"))
-    second = (x.join(y, "value")
-              .filter((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y")))
-                      & _sizes_fit(F.col("nx"), F.col("ny"), num, den))
-              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    more = materialize(_confirm(second, reps, docs, width, k, num, den), "near-edges")
+        prefix.drop("off").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        .join(pivot, "value").filter("node <> a").drop("a", "na"), "near-placed")
+    apart = (placed.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+             .filter("lo <> hi").select("value"))
+    open_nodes = materialize(placed.join(apart, "value", "left_semi").select("node", "n", "comp").distinct(), "near-open")
+    texts = _texts_of(docs, open_nodes.select(F.col("node").alias("doc_id")))
+    full = map_rows(texts, _shingles(width), "node long, h long")
+    common = full.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    # shingles of no other open document come first in the order; then the rarest
+    ordered = materialize(
+        full.join(common, "h").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("shared"))
+        .join(open_nodes, "node")
+        .withColumn("own", F.col("n") - F.size("shared"))
+        .withColumn("left", (F.col("n") - F.ceil(F.col("n") * num / F.lit(den)) + 1 - F.col("own")).cast("int"))
+        .filter("left > 0")
+        .select("node", "n", "comp", "own", F.posexplode(F.expr("slice(shared, 1, left)")))
+        .select("node", "n", "comp", F.col("col.h").alias("h"), (F.col("own") + F.col("pos")).alias("pos")), "near-ordered")
+    side = lambda c: ordered.select("h", *[F.col(k).alias(f"{k}_{c}") for k in ("node", "n", "comp", "pos")])
+    # at the first shingle in common, what is left of both must still hold the overlap needed
+    reach = F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
+    second = (side("x").join(side("y"), "h")
+              .filter((F.col("node_x") < F.col("node_y")) & (F.col("comp_x") != F.col("comp_y"))
+                      & (F.lit(num + den) * reach >= F.lit(num) * (F.col("n_x") + F.col("n_y"))))
+              .select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct())
+    more = materialize(_confirm(second, reps, docs, width, k, num, den, texts), "near-edges")
     if not more.isEmpty():
         comp = connected_components(
             comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(more))
