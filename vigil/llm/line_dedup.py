@@ -81,12 +81,13 @@ def _lines_of(least: int):
                             seen[k][0].append(no)
                         else:
                             seen[k] = ([no], half_keys(words) if len(words) >= least else [])
-                # a row without a line carries the document's number of lines
-                out["doc_id"] += [doc] * (len(seen) + 1)
-                out["n_lines"] += [len(lines)] + [0] * len(seen)
-                out["key"] += [None, *seen]
-                out["line_nos"] += [[], *(nos for nos, _ in seen.values())]
-                out["halves"] += [[], *(h for _, h in seen.values())]
+                # the first row of a document carries its number of lines
+                rows = seen.items() or [(None, ([], []))]
+                out["doc_id"] += [doc] * len(rows)
+                out["n_lines"] += [len(lines)] + [0] * (len(rows) - 1)
+                out["key"] += [k for k, _ in rows]
+                out["line_nos"] += [v[0] for _, v in rows]
+                out["halves"] += [v[1] for _, v in rows]
             yield out
     return run
 
@@ -123,31 +124,32 @@ def _verify(batches: Iterator[dict]) -> Iterator[dict]:
         yield {"x": near}
 
 
-def _removed(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """(lines, removed): all (doc, distinct line) rows, and the (doc_id, key) that go whole."""
+def _flagged(docs: DataFrame, least: int) -> DataFrame:
+    """All (document, distinct line) rows: doc_id, n_lines, key, line_nos, gone (whole line goes)."""
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id"), "text")
     lines = materialize(map_rows(base, _lines_of(least), "doc_id long, n_lines int, key binary, "
                                  "line_nos array<int>, halves array<long>"), "line-rows")
     rows = lines.filter("key is not null")
-    first = rows.groupBy("key").agg(F.min("doc_id").alias("first_doc"))
-    firsts = materialize(
-        rows.join(first.withColumnRenamed("first_doc", "doc_id"), ["key", "doc_id"])
-        .groupBy("key", "doc_id").agg(F.min(F.element_at("line_nos", 1)).alias("line_no"),
-                                      F.first("halves").alias("halves")), "line-firsts")
-    half = firsts.select("key", F.explode("halves").alias("half"))
-    common = half.groupBy("half").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("half")
-    in_question = half.join(common, "half").select("key").distinct()
-    asked = firsts.join(in_question, "key", "left_semi").select("doc_id", "line_no")
-    per_doc = asked.groupBy("doc_id").agg(F.collect_set("line_no").alias("wanted"))
+    half = rows.select("key", F.xxhash64("key").alias("id"), F.explode("halves").alias("half"))
+    common = (half.groupBy("half").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+              .filter("lo <> hi").select("half"))
+    in_question = half.select("key", "half").join(common, "half").select("key").distinct()
     # order of a line: doc_id, then line number, as one comparable number
-    order = F.col("doc_id").cast("decimal(20,0)") * F.lit(10 ** 10).cast("decimal(11,0)") + F.col("line_no").cast("decimal(10,0)")
-    texts = materialize(
-        map_rows(base.join(per_doc, "doc_id"), _fetch, "doc_id long, line_no int, line string")
-        .join(asked, ["doc_id", "line_no"], "left_semi")
-        .select(order.alias("at"), "line").dropDuplicates(["at"]), "line-texts")
+    order = (F.col("doc_id").cast("decimal(20,0)") * F.lit(10 ** 10).cast("decimal(11,0)")
+             + F.col("line_no").cast("decimal(10,0)"))
+    asked = materialize(
+        rows.select("key", "doc_id", F.element_at("line_nos", 1).alias("line_no"))
+        .join(in_question, "key", "left_semi").groupBy("key").agg(F.min(order).alias("at"), F.min("doc_id").alias("doc_id"))
+        .withColumn("line_no", (F.col("at") - F.col("doc_id").cast("decimal(20,0)")
+                                * F.lit(10 ** 10).cast("decimal(11,0)")).cast("int")), "line-asked")
+    per_doc = asked.groupBy("doc_id").agg(F.collect_set("line_no").alias("wanted"))
+    found = map_rows(base.join(per_doc, "doc_id"), _fetch, "doc_id long, line_no int, line string")
+    texts = materialize(found.select(order.alias("at"), "line").dropDuplicates(["at"]), "line-texts")
     at_type = dict(texts.dtypes)["at"]
     var = materialize(map_rows(texts, _variants, f"vkey binary, pos int, at {at_type}"), "line-variants")
-    same = var.groupBy("vkey", "pos").agg(F.min("at").alias("y"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
+    met = var.groupBy("vkey").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("vkey")
+    var = materialize(var.join(met, "vkey"), "line-met")
+    same = var.groupBy("vkey", "pos").agg(F.min("at").alias("y"))
     whole = var.filter("pos = -1").select("vkey", F.col("at").alias("y"))
     part = var.filter("pos >= 0").groupBy("vkey").agg(F.min("at").alias("y"))
     pairs = (var.join(same, ["vkey", "pos"]).select(F.col("at").alias("x"), "y")
@@ -155,13 +157,13 @@ def _removed(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
              .unionByName(var.filter("pos = -1").join(part, "vkey").select(F.col("at").alias("x"), "y"))
              .filter("y < x").distinct())
     side = lambda c: texts.select(F.col("at").alias(c), F.col("line").alias(f"line_{c}"))
-    near = (map_rows(pairs.join(side("x"), "x").join(side("y"), "y"), _verify, f"x {at_type}").distinct())
-    near_keys = (firsts.select("key", order.alias("x")).join(near, "x", "left_semi")
-                 .select("key", F.lit(True).alias("near")))
-    near_keys = materialize(near_keys, "line-near")
-    removed = (rows.select("doc_id", "key").join(first, "key").join(near_keys, "key", "left")
-               .filter((F.col("first_doc") < F.col("doc_id")) | F.col("near")).select("doc_id", "key"))
-    return lines, materialize(removed.distinct(), "line-removed")
+    near = map_rows(pairs.join(side("x"), "x").join(side("y"), "y"), _verify, f"x {at_type}").distinct()
+    near_keys = materialize(asked.select("key", F.col("at").alias("x")).join(near, "x", "left_semi")
+                            .select("key", F.lit(True).alias("near")), "line-near")
+    first = rows.groupBy("key").agg(F.min("doc_id").alias("first_doc"))
+    return (lines.drop("halves").join(first, "key", "left").join(near_keys, "key", "left")
+            .withColumn("gone", F.coalesce((F.col("first_doc") < F.col("doc_id")) | F.col("near"), F.lit(False)))
+            .drop("first_doc", "near"))
 
 
 def duplicate_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -175,9 +177,7 @@ def duplicate_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFram
     order; ties cannot occur, as (doc_id, line number) orders all lines; other columns are
     ignored.
     """
-    lines, removed = _removed(docs, least_words)
-    gone = removed.withColumn("gone", F.lit(True))
-    per = (lines.join(gone, ["doc_id", "key"], "left")
+    per = (_flagged(docs, least_words)
            .withColumn("out", F.when(F.col("gone"), F.col("line_nos"))
                        .otherwise(F.slice("line_nos", 2, 2 ** 31 - 1)))
            .groupBy("doc_id").agg(F.sum("n_lines").cast("long").alias("n_lines"),
@@ -194,8 +194,7 @@ def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """
     import pyarrow as pa
 
-    _, removed = _removed(docs, least_words)
-    per_doc = removed.groupBy(F.col("doc_id").alias("_ld_id")).agg(F.collect_set("key").alias("_ld_gone"))
+    per_doc = _flagged(docs, least_words).filter("gone").groupBy(F.col("doc_id").alias("_ld_id")).agg(F.collect_set("key").alias("_ld_gone"))
     # the join key is a column of its own: null ids stand last and still match
     joined = (docs.withColumn("_ld_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)))
               .join(per_doc, "_ld_id", "left").drop("_ld_id"))
