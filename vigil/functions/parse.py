@@ -63,10 +63,10 @@ def _py_iso(text):
         return None
     try:
         value = _dt.datetime.fromisoformat(text)
-    except (ValueError, TypeError):
+        if value.tzinfo is not None:  # near year 1 or 9999 the shift itself can overflow
+            value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+    except (ValueError, TypeError, OverflowError):
         return None
-    if value.tzinfo is not None:
-        value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
     return value.isoformat(sep=" ")
 
 

@@ -41,11 +41,11 @@ def publish_encode(df: DataFrame, key_col: str = "patient_id", ts_col: str = "ev
                    ts_name: str = "timestamp") -> DataFrame:
     """K4: keyed JSON message: key = partition key text, value = all fields as JSON.
 
-    The time goes out as ISO text with offset; NULL fields are written as ``null``.
+    The time goes out whole (microseconds) as ISO text with offset; NULL fields are written as ``null``.
     Cast ``key`` to binary at a Kafka sink; per-key order follows the key's partition.
     """
     cols = [F.col(c) for c in df.columns if c != ts_col]
-    ts_text = F.concat(F.date_format(ts_col, "yyyy-MM-dd HH:mm:ss.SSS"), F.lit("+00:00"))
+    ts_text = F.concat(F.date_format(ts_col, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("+00:00"))
     value = F.to_json(F.struct(*cols, ts_text.alias(ts_name)), {"ignoreNullFields": "false"})
     return df.select(F.col(key_col).cast("string").alias("key"), value.alias("value"))
 

@@ -106,7 +106,7 @@ def q_vitals_abnormal(spark, sf_dir):
 
 # ============================================================== 2.1 decode / DLQ / publish
 
-_TS_TEXT_DUCK = "strftime(event_ts, '%Y-%m-%d %H:%M:%S.%g') || '+00:00'"
+_TS_TEXT_DUCK = "strftime(event_ts, '%Y-%m-%d %H:%M:%S.%f') || '+00:00'"
 _PAYLOAD_CASE = "CASE CAST(substr(event_id,2) AS BIGINT) % 50 WHEN 0 THEN '{bad' WHEN 1 THEN 'null' END"
 
 

@@ -9,6 +9,7 @@ and a ledger row per date.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -21,6 +22,8 @@ from vigil.plans import reconcile as RC
 from vigil.session import checkpoint_dir
 from vigil.sources.store import TableStore
 
+log = logging.getLogger(__name__)
+
 
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -67,9 +70,31 @@ def reconcile_daily(store: TableStore, labs: DataFrame, dates: Sequence[dt.date]
         dates = sorted(r["sim_date"] for r in labs.select("sim_date").distinct().collect())
     dates = list(dates)
     in_scope = labs.filter(F.col("sim_date").isin(dates))
-    RC.require_rows(in_scope, f"No lab rows for {', '.join(str(d) for d in dates) or 'any date'}.")
-    open_runs(store, dates)
+    nothing = f"No lab rows for {', '.join(str(d) for d in dates) or 'any date'}."
+    if not dates:
+        RC.require_rows(in_scope, nothing)
+    open_runs(store, dates)  # an error here is the caller's: no run is open yet
+    try:
+        return _reconcile(store, in_scope, dates, expected_count, seq_col, nothing)
+    except Exception:
+        try:
+            close_runs(store, dict.fromkeys(dates, "failed"), _stored_counts(store, dates))
+        except Exception:  # the step's own error is the one to report
+            log.exception("runs of %s could not be closed", dates)
+        raise
+
+
+def _stored_counts(store: TableStore, dates: list) -> DataFrame:
+    staged_all = store.read("daily_lab_results", schema=STAGED_SCHEMA).filter(F.col("sim_date").isin(dates))
+    rejected_all = store.read("rejected_rows", schema=REJECTED_SCHEMA).filter(F.col("sim_date").isin(dates))
+    return RC.run_ledger_counts(staged_all, rejected_all,
+                                store.spark.createDataFrame([(d,) for d in dates], "sim_date date"))
+
 
+def _reconcile(store: TableStore, in_scope: DataFrame, dates: list, expected_count, seq_col: str,
+               nothing: str) -> dict:
+    """The steps between opening and closing the runs; closes them when the gate has decided."""
+    spark = store.spark
     # parse once (checkpointed), then the first-wins rule over the stored parse; the result
     # feeds three consumers (rejected sink, per-date counts, staged sink), so it is cut too
     checked = LB.checked_labs(in_scope).checkpoint(eager=True)
@@ -77,6 +102,7 @@ def reconcile_daily(store: TableStore, labs: DataFrame, dates: Sequence[dt.date]
     rejected = LB.rejected_labs(validated, seq_col=seq_col, rejected_at=F.lit(_now()))
     store.replace_partitions(rejected, "rejected_rows", ["source", "sim_date"],
                              [{"source": config.LAB_SOURCE, "sim_date": d} for d in dates])
+    RC.require_rows(checked, nothing)  # after the rejected rows of an earlier run are replaced
 
     accepted_counts = {r["sim_date"]: r["n"] for r in validated.filter(F.col("reason").isNull())
                        .groupBy("sim_date").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -102,11 +128,11 @@ def reconcile_daily(store: TableStore, labs: DataFrame, dates: Sequence[dt.date]
         for r in gate.select("sim_date", "status", "message").collect():  # one row per date
             outcome[r["sim_date"]] = "success" if r["status"] == "passed" else f"failed: {r['message']}"
 
-    staged_all = store.read("daily_lab_results", schema=STAGED_SCHEMA).filter(F.col("sim_date").isin(dates))
-    rejected_all = store.read("rejected_rows", schema=REJECTED_SCHEMA).filter(F.col("sim_date").isin(dates))
-    counts = RC.run_ledger_counts(staged_all, rejected_all,
-                                  spark.createDataFrame([(d,) for d in dates], "sim_date date"))
-    close_runs(store, {d: ("success" if s == "success" else "failed") for d, s in outcome.items()}, counts)
+    statuses = {d: ("success" if s == "success" else "failed") for d, s in outcome.items()}
+    try:
+        close_runs(store, statuses, _stored_counts(store, dates))
+    except Exception:  # the data is stored and gated; a ledger error is only logged
+        log.exception("runs of %s could not be closed", dates)
     return outcome
 
 

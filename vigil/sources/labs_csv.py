@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,11 +13,16 @@ from vigil import config
 DATE_FROM_PATH = r"labs_(\d{8})\.csv(/|$)"
 
 
+def file_date(file: str = "source_file") -> Column:
+    """Date in a lab file's path; NULL for a name without one."""
+    return F.try_to_timestamp(F.regexp_extract(file, DATE_FROM_PATH, 1), F.lit("yyyyMMdd")).cast("date")
+
+
 class LabFileError(ValueError):
     """A lab file without a header or without a required column."""
 
 
-def _headers(spark: SparkSession, path: str) -> DataFrame:
+def _headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """First line of every file (one small row per file)."""
     lines = (spark.read.option("recursiveFileLookup", True).text(path)
              .select("value", F.col("_metadata.file_path").alias("file"),
@@ -28,15 +33,18 @@ def _headers(spark: SparkSession, path: str) -> DataFrame:
     return first
 
 
-def read_lab_files(spark: SparkSession, path: str,
-                   required: tuple[str, ...] = config.LAB_REQUIRED_COLUMNS) -> DataFrame:
+def read_lab_files(spark: SparkSession, path: str | list[str],
+                   required: tuple[str, ...] = config.LAB_REQUIRED_COLUMNS,
+                   multi_line: bool = False) -> DataFrame:
     """K8: every record of the ``labs_YYYYMMDD.csv`` files under ``path``, all columns text.
 
     Columns are matched by header name per file (any order, extra columns allowed); a file
     without a header or without a required column raises :class:`LabFileError` listing the
     missing names sorted. Adds ``sim_date`` (from the file name), ``source_file`` and
     ``seq`` = record index within the file starting at 2 (header is line 1, blank lines are
-    not records).
+    not records). A date in several files is numbered through, in order of file name.
+    Doubled quotes inside quoted fields are one quote. ``multi_line`` reads line breaks in
+    quoted fields, at the price of files that cannot be split.
     """
     headers = _headers(spark, path).collect()  # one row per file: metadata, not data
     if not headers:
@@ -54,6 +62,7 @@ def read_lab_files(spark: SparkSession, path: str,
     for names, files in groups.items():
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         df = (spark.read.option("header", True).option("mode", "PERMISSIVE").schema(schema)
+              .option("escape", '"').option("multiLine", multi_line)
               .option("recursiveFileLookup", True)
               .csv(files)
               .select(*[F.col(c) for c in required],
@@ -64,20 +73,20 @@ def read_lab_files(spark: SparkSession, path: str,
     rows = parts[0]
     for extra in parts[1:]:
         rows = rows.unionByName(extra)
-    return with_record_numbers(rows).withColumn(
-        "sim_date", F.to_date(F.regexp_extract("source_file", DATE_FROM_PATH, 1), "yyyyMMdd"))
+    return with_record_numbers(rows).withColumn("sim_date", file_date())
 
 
 def with_record_numbers(rows: DataFrame) -> DataFrame:
-    """``seq`` = 2 + records before this one in its file, exact for split files.
+    """``seq`` = 2 + records before this one in the files of its date, exact for split files.
 
     Rows of one file split are contiguous in one task with increasing ids, so the index
     inside a split is ``id - min(id)``; splits are offset by the record counts of the
-    earlier splits of the same file (a window over one row per split, not per record).
+    earlier splits of the date's files (a window over one row per split, not per record).
     """
     blocks = rows.groupBy("source_file", "__block").agg(
         F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
-    w = Window.partitionBy("source_file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    day = F.coalesce(file_date().cast("string"), F.col("source_file"))
+    w = Window.partitionBy(day).orderBy("source_file", "__block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("__before", F.coalesce(F.sum("__n").over(w), F.lit(0)))
     out = rows.join(blocks, ["source_file", "__block"])
     seq = F.lit(2) + F.col("__before") + (F.col("__mid") - F.col("__first"))
@@ -102,7 +111,8 @@ def write_lab_files(df: DataFrame, out_dir: str, spark: SparkSession | None = No
         target = Path(f"{out_dir.rstrip('/')}/labs_{name.split('=', 1)[1]}.csv")
         if fs.exists(target):
             fs.delete(target, True)
-        fs.rename(st.getPath(), target)
+        if not fs.rename(st.getPath(), target):
+            raise OSError(f"could not move {st.getPath()} to {target}")
         written.append(target.getName())
     fs.delete(Path(staging), True)
     return sorted(written)

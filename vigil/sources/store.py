@@ -55,11 +55,25 @@ class TableStore:
                 return True
         return False
 
+    def _staging(self) -> str:
+        """A fresh folder beside the tables: leftovers of a crash are never part of one."""
+        return self.path(f"_staging/{uuid.uuid4().hex}")
+
+    def _move(self, src: str, dst: str) -> None:
+        """Rename, or raise before the caller deletes anything further."""
+        self._fs.mkdirs(self._Path(dst).getParent())
+        if not self._fs.rename(self._Path(src), self._Path(dst)):
+            raise OSError(f"could not move {src} to {dst}")
+
+    def _versions(self, p: str) -> list[str]:
+        """Whole snapshots of an upsert table, oldest first; a torn one has no _SUCCESS."""
+        return sorted(c for c in self._children(p) if c.startswith("v=") and self._exists(f"{p}/{c}/_SUCCESS"))
+
     # ------------------------------------------------------------------ reads
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
         """Current contents; an empty frame with ``schema`` if nothing was written yet."""
         p = self.path(table)
-        versions = sorted(c for c in self._children(p) if c.startswith("v="))
+        versions = self._versions(p)
         if versions:
             return self.spark.read.parquet(f"{p}/{versions[-1]}")
         if self._has_data(p):
@@ -71,18 +85,21 @@ class TableStore:
 
     # ------------------------------------------------------------------ insert-if-absent
     def insert_if_absent(self, df: DataFrame, table: str, keys: Sequence[str], batch_id: int,
-                         order: Sequence[str] = (), prune_cols: Sequence[str] = ()) -> int:
+                         order: Sequence[str] = (), prune_cols: Sequence[str] = (),
+                         layout_cols: Sequence[str] = ()) -> int:
         """Write the rows of ``df`` whose ``keys`` are not stored yet; return that count.
 
         Within the batch the first row per key (by ``order``, then all columns) wins.
         ``prune_cols`` are partition columns that are functions of the key (e.g. the event
-        date of an event id). Rows are stored as ``batch_id=N/<prune_cols>=v``, and the anti
+        date of a window). Rows are stored as ``batch_id=N/<prune_cols>=v``, and the anti
         join reads only the stored partitions whose values occur in this batch (a handful
-        of dates per micro-batch) instead of the whole history.
+        of dates per micro-batch) instead of the whole history. ``layout_cols`` are partition
+        columns that are not a function of the key: they shape the folders for readers but
+        prune nothing; the anti join then reads the key columns of the whole table.
         """
         from vigil.operators.events import dedup_first
 
-        keys, prune_cols = list(keys), list(prune_cols)
+        keys, prune_cols, layout_cols = list(keys), list(prune_cols), list(layout_cols)
         p = self.path(table)
         batch = dedup_first(df, keys + prune_cols, list(order) or keys)
         if self._has_data(p):
@@ -100,13 +117,13 @@ class TableStore:
             stored = stored.select(*keys, *prune_cols).distinct()
             batch = batch.join(stored, on=[*keys, *prune_cols], how="left_anti")
         target = f"{p}/batch_id={batch_id}"
-        staging = f"{p}/_staging_{uuid.uuid4().hex}"
+        staging = self._staging()
         writer = batch.write.mode("overwrite")
-        if prune_cols:
-            writer = writer.partitionBy(*prune_cols)
+        if prune_cols or layout_cols:
+            writer = writer.partitionBy(*prune_cols, *layout_cols)
         writer.parquet(staging)  # computed once, counted from the written files
         self._delete(target)
-        self._fs.rename(self._Path(staging), self._Path(target))
+        self._move(staging, target)
         return self.spark.read.parquet(target).count() if self._has_data(target) else 0
 
     def compact(self, table: str, keys: Sequence[str], up_to_batch: int,
@@ -129,14 +146,14 @@ class TableStore:
         ids = [int(c.split("=", 1)[1]) for c in merged]
         rows = self.spark.read.parquet(p).filter(F.col("batch_id").isin(ids)).drop("batch_id")
         compacted = dedup_first(rows, list(keys) + list(prune_cols), list(order) or list(keys))
-        staging = f"{p}/_staging_{uuid.uuid4().hex}"
+        staging = self._staging()
         writer = compacted.write.mode("overwrite")
         if prune_cols:
             writer = writer.partitionBy(*prune_cols)
         writer.parquet(staging)
         target = f"{p}/batch_id={-(up_to_batch + 1)}"
         self._delete(target)
-        self._fs.rename(self._Path(staging), self._Path(target))
+        self._move(staging, target)
         for c in merged:
             if c != target.rsplit("/", 1)[1]:
                 self._delete(f"{p}/{c}")
@@ -166,16 +183,14 @@ class TableStore:
         deleted = 0
         if self._has_data(p):
             deleted = self.spark.read.parquet(p).filter(cond).count()
-        staging = f"{p}/_staging_{uuid.uuid4().hex}"
+        staging = self._staging()
         df.filter(cond).write.mode("overwrite").partitionBy(*part_cols).parquet(staging)
         inserted = self.spark.read.parquet(staging).count() if self._has_data(staging) else 0
         for d in dirs:
             self._delete(f"{p}/{d}")
             src = f"{staging}/{d}"
             if self._exists(src):
-                parent = self._Path(f"{p}/{d}").getParent()
-                self._fs.mkdirs(parent)
-                self._fs.rename(self._Path(src), self._Path(f"{p}/{d}"))
+                self._move(src, f"{p}/{d}")
         self._delete(staging)
         return {"deleted": deleted, "inserted": inserted}
 
@@ -190,14 +205,17 @@ class TableStore:
         if order:
             incoming = incoming.drop(order)
         p = self.path(table)
-        versions = sorted(c for c in self._children(p) if c.startswith("v="))
+        versions = self._versions(p)
         if versions:
             current = self.spark.read.parquet(f"{p}/{versions[-1]}")
             merged = merge_upsert(current, incoming, keys, keep_first)
             nxt = int(versions[-1][2:]) + 1
         else:
             merged, nxt = incoming, 1
-        merged.write.mode("overwrite").parquet(f"{p}/v={nxt:08d}")
+        staging = self._staging()
+        merged.write.parquet(staging)
+        self._delete(f"{p}/v={nxt:08d}")  # a torn snapshot of an earlier run
+        self._move(staging, f"{p}/v={nxt:08d}")
         for old in (versions + [f"v={nxt:08d}"])[:-keep_versions]:
             self._delete(f"{p}/{old}")
 

@@ -1,40 +1,50 @@
 """ST8: daily lab files arriving in a folder, each processed once, as a file stream.
 
-Replaces a polling sensor: ``readStream`` CSV on the incoming folder; every micro-batch
-runs the daily reconciliation for the dates of the files it contains.
+Replaces a polling sensor: ``readStream`` notices the files of the incoming folder; every
+micro-batch reads them by path with the batch reader, so columns go by header name there too.
 """
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from vigil import config, schemas
+from vigil import config
 from vigil.plans.jobs import reconcile_daily
-from vigil.sources.labs_csv import DATE_FROM_PATH, with_record_numbers
+from vigil.sources.labs_csv import LabFileError, file_date, read_lab_files
 from vigil.sources.store import TableStore
 
+log = logging.getLogger(__name__)
+
 
 def lab_file_stream(spark: SparkSession, incoming: str, max_files: int = 1) -> DataFrame:
-    """Streaming lab rows with ``source_file`` and the split bookkeeping for numbering."""
-    return (spark.readStream.schema(schemas.LAB_CSV_SCHEMA).option("header", True)
-            .option("maxFilesPerTrigger", max_files).option("pathGlobFilter", "labs_*.csv")
-            .csv(incoming)
-            .select("*", F.col("_metadata.file_path").alias("source_file"),
-                    F.col("_metadata.file_block_start").alias("__block")))
+    """Streaming (source_file, sim_date), one row per line of each new file."""
+    return (spark.readStream.option("maxFilesPerTrigger", max_files)
+            .option("pathGlobFilter", "labs_*.csv").text(incoming)
+            .select(F.col("_metadata.file_path").alias("source_file"))
+            .withColumn("sim_date", file_date()))
 
 
 def start_daily_file_stream(spark: SparkSession, incoming: str, store: TableStore,
                             checkpoint: str, expected_count=config.EXPECTED_REPORTS,
                             trigger: dict | None = None) -> StreamingQuery:
+    """Reconcile the dates of new files. Files without a date in their name and files or
+    dates that cannot be processed are logged by name; the stream goes on."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        rows = with_record_numbers(batch.withColumn("__mid", F.monotonically_increasing_id()))
-        rows = rows.withColumn("sim_date", F.to_date(
-            F.regexp_extract("source_file", DATE_FROM_PATH, 1), "yyyyMMdd"))
-        if rows.isEmpty():
-            return
-        reconcile_daily(store, rows, expected_count=expected_count)
+        by_date: dict = {}
+        for r in batch.distinct().collect():  # one row per file of the micro-batch
+            by_date.setdefault(r["sim_date"], []).append(r["source_file"])
+        for name in by_date.pop(None, []):
+            log.warning("skipped %s: no date in its name", name)
+        for day, files in sorted(by_date.items()):
+            try:
+                reconcile_daily(store, read_lab_files(spark, sorted(files)), dates=[day],
+                                expected_count=expected_count)
+            except (LabFileError, ValueError) as exc:
+                log.error("lab files of %s failed: %s", day, exc)
 
     return (lab_file_stream(spark, incoming).writeStream.foreachBatch(run)
             .option("checkpointLocation", checkpoint)

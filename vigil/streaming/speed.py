@@ -71,13 +71,13 @@ def raw_rows(batch: DataFrame, ingested_at: dt.datetime) -> DataFrame:
 
 
 def write_raw_batch(store: TableStore):
-    """K5 callback: insert-if-absent on event_id, pruned by event date."""
+    """K5 callback: insert-if-absent on event_id alone, whatever the event's date."""
     def run(batch: DataFrame, batch_id: int) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         batch = batch.persist()  # read for the partition values and for the write
         try:
             store.insert_if_absent(raw_rows(batch, now), "raw_vitals", ["event_id"], batch_id,
-                                   order=["event_ts"], prune_cols=["event_date"])
+                                   order=["event_ts"], layout_cols=["event_date"])
         finally:
             batch.unpersist()
     return run
@@ -117,8 +117,10 @@ def start_speed_layer(spark: SparkSession, source: DataFrame, store: TableStore,
     trig = trigger or {"processingTime": config.TRIGGER_INTERVAL}
     valid, invalid = validated_events(source)
     dlq = EV.dead_letter(invalid)
-    if dlq_format == "kafka":  # the connector's contract: key and value only
-        dlq = dlq.select(F.col("kafka_key").alias("key"), F.col("value"))
+    if dlq_format == "kafka":  # what does not fit key and value travels as message headers
+        header = lambda c: F.struct(F.lit(c).alias("key"), F.col(c).cast("binary").alias("value"))
+        dlq = dlq.select(F.col("kafka_key").alias("key"), F.col("value"),
+                         F.array(header("reason"), header("raw_value")).alias("headers"))
     dlq_writer = (dlq.writeStream.outputMode("append").format(dlq_format)
                   .option("checkpointLocation", f"{checkpoint_root}/dlq").trigger(**trig))
     if dlq_format == "kafka":
