@@ -79,8 +79,9 @@ def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE,
     """
     sized = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source",
                                     n_words(F.col("text")).alias("size")), "mix-sizes")
-    # sources are few rows but not bounded: a plain join, which Spark broadcasts when small
-    targets = source_targets(sized, weights, share, most)
+    # one row per source, written first: of known size, it is broadcast when small and else
+    # joined by shuffle, where AQE splits a hot source
+    targets = materialize(source_targets(sized, weights, share, most), "mix-targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     u = unit_hash(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     ranked = (sized.join(targets.withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2")))
@@ -98,8 +99,9 @@ def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE,
             .withColumn("before", F.sum("in_bin").over(
                 Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)))
             .fillna(0, ["before"]))
-    cut = (bins.filter((F.col("before") < F.col("rest")) & (F.col("before") + F.col("in_bin") >= F.col("rest")))
-           .groupBy("source").agg(F.min("bin").alias("cut_bin"), F.min("before").alias("before"), F.min("rest").alias("rest")))
+    cut = materialize(bins.filter((F.col("before") < F.col("rest")) & (F.col("before") + F.col("in_bin") >= F.col("rest")))
+           .groupBy("source").agg(F.min("bin").alias("cut_bin"), F.min("before").alias("before"), F.min("rest").alias("rest")),
+           "mix-cuts")
     placed = (ranked.join(cut.withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2")), "left").drop("s2"))
     # only the rows of one bin of each source are ordered; all others are one partition key each
     at_cut = F.col("bin") == F.col("cut_bin")
