@@ -130,25 +130,27 @@ def _flagged(docs: DataFrame, least: int) -> DataFrame:
     lines = materialize(map_rows(base, _lines_of(least), "doc_id long, n_lines int, key binary, "
                                  "line_nos array<int>, halves array<long>"), "line-rows")
     rows = lines.filter("key is not null")
-    half = rows.select("key", F.xxhash64("key").alias("id"), F.explode("halves").alias("half"))
+    # a short id stands for the key here: a collision only puts one more line in question
+    half = rows.select(F.xxhash64("key").alias("id"), F.explode("halves").alias("half"))
     common = (half.groupBy("half").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
               .filter("lo <> hi").select("half"))
-    in_question = half.select("key", "half").join(common, "half").select("key").distinct()
+    in_question = half.join(common, "half").select("id").distinct()
     # order of a line: doc_id, then line number, as one comparable number
     order = (F.col("doc_id").cast("decimal(20,0)") * F.lit(10 ** 10).cast("decimal(11,0)")
              + F.col("line_no").cast("decimal(10,0)"))
     asked = materialize(
         rows.select("key", "doc_id", F.element_at("line_nos", 1).alias("line_no"))
-        .join(in_question, "key", "left_semi").groupBy("key").agg(F.min(order).alias("at"), F.min("doc_id").alias("doc_id"))
+        .join(in_question, F.xxhash64("key") == F.col("id"), "left_semi").groupBy("key").agg(F.min(order).alias("at"), F.min("doc_id").alias("doc_id"))
         .withColumn("line_no", (F.col("at") - F.col("doc_id").cast("decimal(20,0)")
                                 * F.lit(10 ** 10).cast("decimal(11,0)")).cast("int")), "line-asked")
     per_doc = asked.groupBy("doc_id").agg(F.collect_set("line_no").alias("wanted"))
-    found = map_rows(base.join(per_doc, "doc_id"), _fetch, "doc_id long, line_no int, line string")
+    # the lines asked for grow with the documents, so the texts meet them by shuffle at any size
+    found = map_rows(base.join(per_doc.hint("merge"), "doc_id"), _fetch, "doc_id long, line_no int, line string")
     texts = materialize(found.select(order.alias("at"), "line").dropDuplicates(["at"]), "line-texts")
     at_type = dict(texts.dtypes)["at"]
     var = materialize(map_rows(texts, _variants, f"vkey binary, pos int, at {at_type}"), "line-variants")
-    met = var.groupBy("vkey").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("vkey")
-    var = materialize(var.join(met, "vkey"), "line-met")
+    met = var.groupBy(F.xxhash64("vkey").alias("short")).agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("short")
+    var = materialize(var.join(met, F.xxhash64("vkey") == F.col("short"), "left_semi"), "line-met")
     same = var.groupBy("vkey", "pos").agg(F.min("at").alias("y"))
     whole = var.filter("pos = -1").select("vkey", F.col("at").alias("y"))
     part = var.filter("pos >= 0").groupBy("vkey").agg(F.min("at").alias("y"))
