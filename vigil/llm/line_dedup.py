@@ -160,10 +160,15 @@ def _flagged(docs: DataFrame, least: int) -> DataFrame:
              .filter("y < x").distinct())
     side = lambda c: texts.select(F.col("at").alias(c), F.col("line").alias(f"line_{c}"))
     near = map_rows(pairs.join(side("x"), "x").join(side("y"), "y"), _verify, f"x {at_type}").distinct()
-    near_keys = materialize(asked.select("key", F.col("at").alias("x")).join(near, "x", "left_semi")
-                            .select("key", F.lit(True).alias("near")), "line-near")
-    first = rows.groupBy("key").agg(F.min("doc_id").alias("first_doc"))
-    return (lines.drop("halves").join(first, "key", "left").join(near_keys, "key", "left")
+    near_keys = asked.select("key", F.col("at").alias("x")).join(near, "x", "left_semi").select("key")
+    # only keys of several documents or with an earlier near line decide anything; written on
+    # its own, so that the join below is the only one of its stage and a hot line can be split
+    deciding = materialize(
+        rows.select("key", "doc_id", F.lit(False).alias("near"))
+        .unionByName(near_keys.select("key", F.lit(None).cast("long").alias("doc_id"), F.lit(True).alias("near")))
+        .groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"), F.max("near").alias("near"))
+        .filter("near or first_doc < last_doc").drop("last_doc"), "line-deciding")
+    return (lines.drop("halves").join(deciding, "key", "left")
             .withColumn("gone", F.coalesce((F.col("first_doc") < F.col("doc_id")) | F.col("near"), F.lit(False)))
             .drop("first_doc", "near"))
 
