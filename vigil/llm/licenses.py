@@ -119,8 +119,10 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None,
         .select("doc_id", "_s", "span", "stride", F.explode(cover).alias("w"))
         .select("doc_id", "span", (F.col("w") * F.col("stride")).alias("first_word"),
                 F.array_distinct(F.slice("_s", F.col("w") * F.col("stride") + 1, F.col("span"))).alias("win")))
-    # the template side is bounded above; Spark broadcasts it by its size
-    found = (with_bands(windows, "win").join(t_bands, ["span", "band", "key"])
+    # the template side is at most BANDS rows of MOST_SHINGLES hashes, checked above, whatever the
+    # corpus; it has to be a broadcast, because Spark does not know its size and would deal the
+    # windows, one row and one copy of the window for each band
+    found = (with_bands(windows, "win").join(F.broadcast(t_bands), ["span", "band", "key"])
              .withColumn("containment", F.size(F.array_intersect("win", "t_set")) / F.size("t_set"))
              .filter(F.col("containment") >= contained)
              .select("doc_id", "license", "first_word", "containment").distinct())
