@@ -32,3 +32,13 @@ def test_every_lab_patient_day_has_exactly_one_report(spark):
     patients = C.staged_labs(spark, SF001).select("sim_date", "patient_id").distinct()
     assert report.count() == patients.count()
     assert report.join(patients, ["sim_date", "patient_id"], "left_anti").count() == 0
+
+
+def test_dates_without_reports_are_listed(spark):
+    reports = spark.createDataFrame([("2026-01-01", "normal")], "sim_date string, operational_risk_flag string")
+    patients = spark.createDataFrame([("p1",)], "patient_id string")
+    dates = spark.createDataFrame([("2026-01-01",), ("2026-01-02",), ("2026-01-02",)], "sim_date string")
+    status = sorted(SV.reconciliation_status(reports, patients, dates).collect())
+    assert [tuple(r) for r in status] == [("2026-01-01", 1, 1, True), ("2026-01-02", 0, 1, False)]
+    dist = {r.sim_date: (r.normal, r.reports) for r in SV.risk_distribution(reports, dates).collect()}
+    assert dist == {"2026-01-01": (1, 1), "2026-01-02": (0, 0)}

@@ -594,20 +594,20 @@ def q_risk_overview(spark, sf_dir):
 
 
 @register("risk_distribution", _report_sql() + """
-SELECT sim_date, count(*) FILTER (WHERE operational_risk_flag = 'normal') AS normal,
+SELECT d.sim_date, count(*) FILTER (WHERE operational_risk_flag = 'normal') AS normal,
   count(*) FILTER (WHERE operational_risk_flag = 'watch') AS watch,
-  count(*) FILTER (WHERE operational_risk_flag = 'elevated') AS elevated, count(*) AS reports
-FROM report GROUP BY sim_date""")
+  count(*) FILTER (WHERE operational_risk_flag = 'elevated') AS elevated, count(report.sim_date) AS reports
+FROM (SELECT DISTINCT sim_date FROM labs) d LEFT JOIN report ON report.sim_date = d.sim_date GROUP BY d.sim_date""")
 def q_risk_distribution(spark, sf_dir):
-    return SV.risk_distribution(report_frame(spark, sf_dir))
+    return SV.risk_distribution(report_frame(spark, sf_dir), FX.labs(spark, sf_dir))
 
 
 @register("reconciliation_status", _report_sql(FX.patients_cte()) + """
-SELECT sim_date, count(*) AS report_count, (SELECT count(*) FROM patients) AS expected_patients,
-  count(*) = (SELECT count(*) FROM patients) AND (SELECT count(*) FROM patients) > 0 AS complete
-FROM report GROUP BY sim_date""")
+SELECT d.sim_date, count(report.sim_date) AS report_count, (SELECT count(*) FROM patients) AS expected_patients,
+  count(report.sim_date) = (SELECT count(*) FROM patients) AND (SELECT count(*) FROM patients) > 0 AS complete
+FROM (SELECT DISTINCT sim_date FROM labs) d LEFT JOIN report ON report.sim_date = d.sim_date GROUP BY d.sim_date""")
 def q_reconciliation_status(spark, sf_dir):
-    return SV.reconciliation_status(report_frame(spark, sf_dir), FX.patients(spark, sf_dir))
+    return SV.reconciliation_status(report_frame(spark, sf_dir), FX.patients(spark, sf_dir), FX.labs(spark, sf_dir))
 
 
 @register("run_durations", _labs_sql(_RUNS_SQL) + """

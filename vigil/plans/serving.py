@@ -153,20 +153,33 @@ def trend_series(trends: DataFrame) -> DataFrame:
         "'avg_temp', CAST(avg_temp AS DOUBLE)) AS (series, value)"))
 
 
-def risk_distribution(reports: DataFrame) -> DataFrame:
-    """A5: per date the count of each flag; every flag present (zero-filled)."""
+def _every_date(per_day: DataFrame, dates: DataFrame) -> DataFrame:
+    """One row per date of ``dates``; counts of dates that ``per_day`` lacks are zero."""
+    return dates.select("sim_date").distinct().join(per_day, "sim_date", "left").na.fill(0)
+
+
+def risk_distribution(reports: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+    """A5: per date the count of each flag; every flag present (zero-filled).
+
+    With ``dates`` (rows with a sim_date) each of them is listed, also those without reports.
+    """
     normal, watch, elevated = config.RISK_LEVELS
-    return reports.groupBy("sim_date").agg(
+    per_day = reports.groupBy("sim_date").agg(
         F.count_if(F.col("operational_risk_flag") == normal).alias("normal"),
         F.count_if(F.col("operational_risk_flag") == watch).alias("watch"),
         F.count_if(F.col("operational_risk_flag") == elevated).alias("elevated"),
         F.count(F.lit(1)).alias("reports"))
+    return per_day if dates is None else _every_date(per_day, dates)
+
 
+def reconciliation_status(reports: DataFrame, patients: DataFrame, dates: DataFrame) -> DataFrame:
+    """Per date, reports vs registered patients and whether reconciliation is complete.
 
-def reconciliation_status(reports: DataFrame, patients: DataFrame) -> DataFrame:
-    """Per date, reports vs registered patients and whether reconciliation is complete."""
+    ``dates`` are the rows with a sim_date that should have reports (daily input or ledger): a
+    date that failed entirely is listed with no reports.
+    """
     expected = patients.agg(F.count(F.lit(1)).alias("expected_patients"))
     per_day = reports.groupBy("sim_date").agg(F.count(F.lit(1)).alias("report_count"))
-    out = per_day.crossJoin(expected)  # one-row frame
+    out = _every_date(per_day, dates).crossJoin(expected)  # one-row frame
     complete = (F.col("report_count") == F.col("expected_patients")) & (F.col("expected_patients") > 0)
     return out.select("sim_date", "report_count", "expected_patients", complete.alias("complete"))
