@@ -158,6 +158,19 @@ def test_passages_exact_and_edited(docs):
     assert passages.repeated_passages(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("foreign", [70, 100, 1000])
+def test_passages_second_long_passage_of_a_pair(docs, foreign):
+    rng = random.Random(17)
+    far = lambda n, tag: " ".join(f"{tag}{rng.randrange(10 ** 9)}" for _ in range(n))
+    one, two = far(500, "p"), far(300, "q")
+    rows = [(1, f"{one} {far(foreign, 'a')} {two}"), (2, f"{one} {far(foreign, 'b')} {two}")]
+    covered = set()
+    for r in passages.repeated_passages(docs(rows)).collect():
+        assert (r.doc_id, r.source_id) == (2, 1) and r.identity > 0.95
+        covered.update(range(r.first_word, r.end_word))
+    assert covered >= set(range(500)) | set(range(500 + foreign, 800 + foreign))
+
+
 def test_licenses_match_exact_containment(docs):
     rng = random.Random(9)
     rows = [(i, _text(rng, 100)) for i in range(5)]
