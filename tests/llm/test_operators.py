@@ -171,6 +171,49 @@ def test_passages_second_long_passage_of_a_pair(docs, foreign):
     assert covered >= set(range(500)) | set(range(500 + foreign, 800 + foreign))
 
 
+def _reported(got, doc, source):
+    return {w for r in got if (r.doc_id, r.source_id) == (doc, source) for w in range(r.first_word, r.end_word)}
+
+
+def test_passages_whose_seeds_stand_elsewhere_and_repeated_words(docs):
+    rng = random.Random(19)
+    far = lambda n: " ".join(f"f{rng.randrange(10 ** 9)}" for _ in range(n))
+    words = far(60).split()
+    # every seed of the passage stands in one unrelated earlier document, or in many
+    once = [(k, far(20) + " " + " ".join(words[k:k + 6]) + " " + far(20)) for k in range(0, 60, 2)]
+    hot = far(60).split()
+    many = [(100 + 40 * k + n, far(9) + " " + " ".join(hot[k:k + 6]) + " " + far(9)) for k in range(0, 60, 2) for n in range(20)]
+    rows = once + many + [(5000, " ".join(words)), (5001, far(30) + " " + " ".join(words)),
+                          (5002, " ".join(hot)), (5003, far(30) + " " + " ".join(hot)),
+                          (6000, far(5) + " again" * 70), (6001, far(7) + " again" * 300),
+                          (6002, (far(20) + " ") * 10)]
+    rows.append((6003, far(3) + " " + rows[-1][1]))
+    got = passages.repeated_passages(docs(rows)).collect()
+    assert _reported(got, 5001, 5000) == set(range(30, 90))
+    assert _reported(got, 5003, 5002) == set(range(30, 90))
+    assert _reported(got, 6001, 6000) == set(range(7, 307))
+    assert _reported(got, 6003, 6002) == set(range(3, 203))
+
+
+@pytest.mark.parametrize("alike", [0.8, 0.85, 0.9])
+def test_passages_recall_of_edited_copies(docs, alike):
+    rng = random.Random(23)
+    far = lambda n: [f"f{rng.randrange(10 ** 9)}" for _ in range(n)]
+    rows, n = [], 0
+    for length in [60] * 60 + [100] * 30:
+        p = far(length)
+        q = p[:]
+        inner = [k for k in range(length) if 2 <= k < length - 2]    # the passage keeps its ends
+        for k in rng.sample(inner, round(length * (1 - alike))):
+            q[k] = far(1)[0]
+        rows += [(n, " ".join(far(40) + p + far(40))), (n + 1, " ".join(far(25) + q + far(30)))]
+        n += 2
+    got = passages.repeated_passages(docs(rows)).collect()
+    # brute force finds each of them: the copies are aligned word by word and reach the bounds
+    found = sum(len(_reported(got, k + 1, k)) >= 50 for k in range(0, n, 2))
+    assert found >= 0.97 * n / 2, found
+
+
 def test_licenses_match_exact_containment(docs):
     rng = random.Random(9)
     rows = [(i, _text(rng, 100)) for i in range(5)]
