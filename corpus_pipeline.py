@@ -15,6 +15,10 @@ from vigil.llm import decontaminate, langid, line_dedup, mixing, near_dedup
 from vigil.llm.base import materialize, set_batch_rows
 
 
+# near duplicates of the corpus share four fifths of their 5-word shingles (op1 has bounds of its own)
+WIDTH, ALIKE = 5, 80
+
+
 def _only(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id is in ``decisions`` (null matches null)."""
     ids = decisions.select(F.col("doc_id").alias("_cp_id")).distinct()
@@ -43,7 +47,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     document with an id.
     """
     set_batch_rows(spark)
-    kept = _only(docs, near_dedup.near_duplicates(docs).filter("kept"))
+    kept = _only(docs, near_dedup.near_duplicates(docs, width=WIDTH, num=ALIKE).filter("kept"))
     named = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
     return named.unionByName(kept.filter("doc_id is null"))
 

@@ -1,5 +1,7 @@
 """The pipeline against its operators, and the queries that have an oracle."""
 
+import random
+
 import duckdb
 import pytest
 
@@ -33,6 +35,26 @@ def test_planted_copies_and_leaks(spark, docs):
     assert [r.doc_id for r in left.collect()] == [2]
 
 
+def test_near_dedup_stage_matches_brute_force_at_five_words(spark, docs):
+    rng, rows = random.Random(29), []
+    for i in range(0, 90, 3):
+        base = [f"b{rng.randrange(10 ** 9)}" for _ in range(300)]
+        block = base[:40] + [f"n{i}x{k}" for k in range(25)] + base[65:]       # 0.82 at five words, 0.83 at three
+        spread = base[:]
+        for k in range(4 + i // 3 % 5):     # seven words: 0.79 at five words, 0.87 at three
+            spread[20 + 30 * k] = f"s{i}x{k}"
+        rows += [(i, " ".join(base)), (i + 1, " ".join(block)), (i + 2, " ".join(spread))]
+    sets = {i: {tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    comp = {i: i for i in sets}
+    for _ in range(3):
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    comp[a] = comp[b] = min(comp[a], comp[b])
+    kept = corpus_pipeline.keep_one_of_each(spark, docs(rows), SF)
+    assert {r.doc_id for r in kept.collect()} == set(comp.values())
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()

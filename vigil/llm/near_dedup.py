@@ -3,7 +3,7 @@
 Method. One hash function over word shingles; a document's sketch is its ``k`` smallest
 shingle hashes. Retained values form inverted lists. Two documents with Jaccard >= 0.85 share
 at least ``overlap_floor`` of their retained values except with negligible probability (see
-:data:`SHARE`), so it is enough to list each sketch under its rarest values (prefix filter;
+:func:`least_share`), so it is enough to list each sketch under its rarest values (prefix filter;
 any global order is valid, rarity only shortens the lists). Pairs from the lists are filtered
 by the Jaccard estimate of the union sketch and confirmed on the full shingle sets.
 
@@ -19,6 +19,7 @@ first leaves open.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,10 +31,17 @@ from vigil.llm.base import WordHash, map_rows, materialize, shingle_hashes, spac
 from vigil.llm.components import connected_components
 
 K = 64
-# Least share of the union sketch that a pair of Jaccard >= 0.85 has in common. The count is
-# hypergeometric with mean 0.85 * 64 = 54.4 and deviation below 2.9; 0.58 * 64 = 37.1 lies six
-# deviations below (probability under 1e-7 a pair).
-SHARE = 0.58
+DEVIATIONS = 6
+
+
+def least_share(num: int, den: int, k: int) -> float:
+    """Least share of the union sketch that a pair at the threshold has in common.
+
+    The count is hypergeometric with mean t * k and deviation below sqrt(t * (1 - t) * k); the
+    share lies six deviations below (probability under 1e-7 a pair): 0.58 at 0.85, 0.50 at 0.8.
+    """
+    t = num / den
+    return max(0.0, math.floor(100 * (t - DEVIATIONS * math.sqrt(t * (1 - t) / k)) + 1e-9) / 100)
 
 
 def _sketches(width: int, k: int):
@@ -91,7 +99,7 @@ def _confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, k:
     est = (pairs.join(sk("a"), "a").join(sk("b"), "b")
            .withColumn("u", F.slice(F.array_sort(F.array_union("sk_a", "sk_b")), 1, k))
            .withColumn("common", F.size(F.array_intersect(F.array_intersect("sk_a", "sk_b"), F.col("u"))))
-           .filter(F.col("common") >= F.lit(SHARE) * F.size("u"))
+           .filter(F.col("common") >= F.lit(least_share(num, den, k)) * F.size("u"))
            .select("a", "b"))
     cand = materialize(est, "near-candidates")
     # texts of the candidates only; the hot side of a pair (a pivot) is spread by a salt
@@ -139,7 +147,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, num: int = 85, den: int = 1
     listed = reps.select("node", "n", F.size("sketch").alias("m"), F.explode("sketch").alias("value"))
     df = listed.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     # values found in one sketch only come first in the order and need no list
-    share = F.when(F.col("n") * den <= F.lit(k * num), F.lit(num / den)).otherwise(F.lit(SHARE))
+    share = F.when(F.col("n") * den <= F.lit(k * num), F.lit(num / den)).otherwise(F.lit(least_share(num, den, k)))
     prefix_len = F.col("m") - F.ceil(share * F.col("m") - 1e-9) + 1
     prefix = materialize(
         listed.join(df, "value").groupBy("node", "n", "m")
