@@ -19,19 +19,25 @@ from vigil.llm.base import materialize, set_batch_rows
 WIDTH, ALIKE = 5, 80
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with a hash of the text as doc_id: what is decided on the text alone is
+    joined by it, whether ids are null or repeat."""
+    return docs.select(F.xxhash64("text").alias("doc_id"), "text")
+
+
 def _only(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is in ``decisions`` (null matches null)."""
-    ids = decisions.select(F.col("doc_id").alias("_cp_id")).distinct()
-    return docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("_cp_id")), "left_semi")
+    """Rows of ``docs`` whose text is in ``decisions`` on :func:`_keyed` rows."""
+    keys = decisions.select(F.col("doc_id").alias("_cp_key")).distinct()
+    return docs.join(keys, F.xxhash64("text") == F.col("_cp_key"), "left_semi")
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; those far from every centroid go.
 
-    Rows of equal doc_id stay if one of them is recognised.
+    Each row is judged by its own text, also when its doc_id is null or repeats.
     """
     set_batch_rows(spark)
-    return _only(docs, langid.identify(docs).filter(~F.col("rejected")))
+    return _only(docs, langid.identify(_keyed(docs), langid.fit(docs)).filter(~F.col("rejected")))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,22 +47,33 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one of smallest doc_id.
+    """One document of each group of near duplicates, the one of smallest doc_id (null last).
 
-    Of repeated rows of one doc_id one stays; rows of null doc_id stay unless they copy a
-    document with an id.
+    Each row is judged by its own text, also when its doc_id is null or repeats. Texts without
+    a word copy nothing; of such rows only repeats of one doc_id and text go.
     """
     set_batch_rows(spark)
-    kept = _only(docs, near_dedup.near_duplicates(docs, width=WIDTH, num=ALIKE).filter("kept"))
-    named = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.filter("doc_id is null"))
+    groups = materialize(near_dedup.near_duplicates(_keyed(docs), width=WIDTH, num=ALIKE)
+                         .select(F.col("doc_id").alias("_cp_key"), "n_shingles", "component_id").distinct(), "near-groups")
+    words = groups.filter("n_shingles > 0")
+    first = (docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("_cp_key"))
+             .join(words, "_cp_key").groupBy("component_id")
+             .agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "_cp_key")).alias("f"))
+             .select(F.col("f.id").alias("_cp_id"), F.col("f._cp_key").alias("_cp_text")))
+    keyed = docs.withColumn("_cp_key", F.xxhash64("text"))
+    chosen = (keyed.join(first, (F.col("_cp_key") == F.col("_cp_text"))
+                         & F.col("doc_id").cast("long").eqNullSafe(F.col("_cp_id")), "left_semi")
+              .dropDuplicates(["doc_id", "_cp_key"]))
+    blank = keyed.join(groups.filter("n_shingles = 0"), "_cp_key", "left_semi")
+    named = blank.filter("doc_id is not null").dropDuplicates(["doc_id", "_cp_key"])
+    return chosen.unionByName(named).unionByName(blank.filter("doc_id is null")).drop("_cp_key")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of ``benchmark``."""
+    """Documents without a passage of ``benchmark``; each row is judged by its own text."""
     set_batch_rows(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _only(docs, decontaminate.decontaminate(docs, benchmark).filter(~F.col("contaminated")))
+    return _only(docs, decontaminate.decontaminate(_keyed(docs), benchmark).filter(~F.col("contaminated")))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,6 +35,25 @@ def test_planted_copies_and_leaks(spark, docs):
     assert [r.doc_id for r in left.collect()] == [2]
 
 
+def test_rows_of_null_or_repeated_ids_are_judged_one_by_one(spark, docs):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    texts = lambda df: sorted((str(r.doc_id), r.text) for r in df.collect())
+    clean = [(None, "clean one"), (1, "clean two")]
+    got = corpus_pipeline.drop_contaminated(spark, docs([*clean, (None, "a b " + item), (1, "c " + item)]), SF)
+    assert texts(got) == sorted((str(i), t) for i, t in clean)
+    english = [(i, "the of and to " * 5) for i in range(2, 9)]
+    rows = [*english, (None, "the of and"), (None, "123 ???"), (20, "the and to"), (20, "456 !")]
+    got = corpus_pipeline.keep_identified(spark, docs(rows), SF)
+    assert texts(got) == sorted((str(i), t) for i, t in [*english, (None, "the of and"), (20, "the and to")])
+    copy = " ".join(f"word{i}" for i in range(100))
+    other = [" ".join(f"{c}{i}" for i in range(50)) for c in "xyz"]
+    rows = [(7, copy), (None, copy), (None, other[0]), (None, other[0]), (None, other[0] + " end"),
+            (7, other[1]), (7, other[2]), (8, ""), (8, "")]
+    kept = texts(corpus_pipeline.keep_one_of_each(spark, docs(rows), SF))
+    assert [k for k in kept if not k[1].startswith("x0")] == sorted([("7", copy), ("7", other[1]), ("7", other[2]), ("8", "")])
+    assert len([k for k in kept if k[1].startswith("x0")]) == 1
+
+
 def test_near_dedup_stage_matches_brute_force_at_five_words(spark, docs):
     rng, rows = random.Random(29), []
     for i in range(0, 90, 3):
