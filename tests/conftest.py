@@ -8,8 +8,6 @@ sys.path.insert(0, ROOT)
 
 from vigil.session import build_session, checkpoint_dir  # noqa: E402
 
-SF001 = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from sfpaths import SF001
 from vigil.operators import labs as LB
 from vigil.plans import catalog as C
 from vigil.plans import serving as SV

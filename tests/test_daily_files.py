@@ -3,7 +3,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from sfpaths import SF001
 from vigil.plans import catalog as C
 from vigil.sources import fixtures as FX
 from vigil.sources.labs_csv import write_lab_files

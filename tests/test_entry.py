@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001
+from sfpaths import SF001
 from vigil.plans import catalog
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from sfpaths import SF001
 from vigil.plans import catalog as C
 from vigil.plans.jobs import reconcile_daily
 from vigil.sources import fixtures as FX

@@ -63,7 +63,7 @@ def test_out_of_range_nan_and_inf(spark):
 
 
 def test_fixture_reason_counts(spark):
-    from conftest import SF001
+    from sfpaths import SF001
     from vigil.sources import fixtures as FX
     v = LB.validate_labs(FX.labs(spark, SF001))
     counts = {r.reason: r["count"] for r in v.groupBy("reason").count().collect()}

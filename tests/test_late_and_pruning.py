@@ -3,7 +3,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from sfpaths import SF001
 from test_streaming import _messages, _run
 from vigil.operators import audit as AU
 from vigil.plans import catalog as C

@@ -83,7 +83,7 @@ def test_tiers_and_matrix(spark):
 
 def test_split_is_a_partition(spark):
     from vigil.sources import fixtures as FX
-    from conftest import SF001
+    from sfpaths import SF001
     v = FX.vitals(spark, SF001)
     valid, invalid = EV.split_valid(v, R.operational_rules(time_col="event_ts", time_is_text=False))
     assert valid.count() + invalid.count() == v.count() == 1011

@@ -3,7 +3,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from sfpaths import SF001
 from vigil.functions import rules as R
 from vigil.operators import events as EV
 from vigil.sources import fixtures as FX
