@@ -77,7 +77,7 @@ def test_near_dedup_stage_matches_brute_force_at_five_words(spark, docs):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     res = con.execute(queries.ORACLES[name])
     cols = sorted(d[0] for d in res.description)

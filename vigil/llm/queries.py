@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import (decontaminate, fingerprints, langid, licenses, line_dedup, mixing, near_dedup,
-                       passages, token_counts, warc)
+from vigil.llm import (byte_bpe, collocations, decontaminate, fingerprints, hard_negatives, langid, licenses,
+                       line_dedup, mixing, near_dedup, passages, token_counts, warc)
 from vigil.llm.base import set_batch_rows, table_path
 
 
@@ -60,6 +60,25 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("removed_lines", F.concat_ws(",", F.col("removed_lines").cast("array<string>")))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every seventh vector are moved on by one: near rows of another label then exist."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").withColumn("label", moved)
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = byte_bpe.load_vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = byte_bpe.encode(_table(spark, sf_dir, "documents"), vocabulary)
+    return byte_bpe.digests(byte_bpe.decode(encoded, vocabulary))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -68,7 +87,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_near_dedup, op2_warc, op3_decontaminate, op4_fingerprints, op5_langid, op6_passages,
-    op7_licenses, op8_mixing, op9_token_counts, op10_line_dedup, pipeline)}
+    op7_licenses, op8_mixing, op9_token_counts, op10_line_dedup, op11_collocations, op12_hard_negatives,
+    op13_byte_bpe, pipeline)}
 
 
 # -- DuckDB oracles --------------------------------------------------------------------------
@@ -164,10 +184,50 @@ FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n FROM l GROUP BY 1) c US
 LEFT JOIN (SELECT doc_id, count(*) AS n, string_agg(no::VARCHAR, ',' ORDER BY no) AS nos FROM gone GROUP BY 1) g USING (doc_id)
 """
 
+OP11_SQL = f"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER.format('text')}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece),
+tot AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM w GROUP BY 1),
+gram AS (SELECT lang, k, array_to_string(w[i:i+k-1], ' ') AS phrase FROM
+          (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM gram GROUP BY 1, 2, 3 HAVING count(*) >= 100),
+c AS (SELECT lang, k AS words, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE k >= 2),
+cut AS (SELECT lang, phrase, w, words, a, unnest(range(1, words)) AS k FROM c),
+s AS (SELECT cut.lang, cut.phrase, cut.words, a, cut.k, x.f AS l, y.f AS r, n, 1000::HUGEINT * a * n // (x.f * y.f) AS score
+      FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(w[1:cut.k], ' ')
+      JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(w[cut.k+1:], ' ') JOIN tot ON tot.lang = cut.lang),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+long AS (SELECT lang, a, array_to_string(w[i:i+m-1], ' ') AS phrase FROM
+          (SELECT lang, w, a, m, unnest(range(1, words - m + 2)) AS i FROM
+            (SELECT lang, w, a, words, unnest(range(2, words)) AS m FROM c))),
+gone AS (SELECT DISTINCT best.lang, best.phrase FROM best JOIN long USING (lang, phrase) WHERE 100 * long.a >= 100 * best.a),
+kept AS (SELECT best.* FROM best ANTI JOIN gone USING (lang, phrase))
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) WHERE rank <= 2000
+"""
+
+OP12_SQL = """
+WITH e AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+             list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::BIGINT AS score
+      FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank,
+       s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) <= 5
+"""
+
 ORACLES: dict[str, str] = {
     "op1_near_dedup": OP1_SQL,
     "op2_warc": OP2_SQL,
     "op3_decontaminate": OP3_SQL,
     "op8_mixing": OP8_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op11_collocations": OP11_SQL,
+    "op12_hard_negatives": OP12_SQL,
 }
