@@ -9,11 +9,11 @@ once. The dictionary holds every distinct chunk of a language with its parse fre
 n-grams are counted inside the dictionary, weighted by it.
 
 Counting goes by length. A phrase that occurs ``least`` times has parts that do, so n-grams are
-counted only where both their parts of one word less may be frequent. "May be" is a bitmap of
-hashes of fixed size (broadcast; a false positive is only counted in vain, a frequent phrase is
-never missed). Tasks add up n-grams of a few hundred thousand words before they are shuffled,
-by two independent 64-bit hashes of language and words; the words of frequent phrases are
-fetched by a last pass over the dictionary.
+counted only where their shorter parts may be frequent. "May be" is a bitmap of hashes of fixed
+size (broadcast; a false positive is only counted in vain, a frequent phrase is never missed).
+Words are counted by their text, longer phrases by the 64-bit hashes of their words and language,
+one column a word: the text of a frequent phrase is found again by joining its words, and no
+n-gram's text is ever shuffled. Tasks add up the n-grams of some MB of the dictionary first.
 """
 
 from __future__ import annotations
@@ -26,51 +26,86 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.base import LOWER, WordHash, materialize, mix64
+from vigil.llm.base import LOWER, materialize, mix64
 
 LONGEST = 5
 OVERLAP = LONGEST - 1
 TRIGGER = 16
 FILTER_BITS = 1 << 26       # size of the broadcast bitmap
-BLOCK_WORDS = 400_000       # words of the dictionary that are counted together
+BLOCK_BYTES = 4 << 20       # bytes of the dictionary that are counted together
 
 _SEPARATORS = b".,;:!?\x0a\x0b\x0c\x0d"
-# a separator becomes a mark, and can be no part of a word
+# a separator becomes a mark, and can be no part of a word; the comma is free for another mark
 _CUT = LOWER.translate(bytes(0x20 if b == 0x09 else 0x2E if b in _SEPARATORS else b for b in range(256)))
 # floor(1000 a n / (l r)), exact: both products fit 38 digits
 SCORE = ("(1000BD * cast(a as decimal(17,0)) * cast(n as decimal(17,0))) "
          "div (cast(l as decimal(18,0)) * cast(r as decimal(18,0)))")
 _A = np.uint64(0x9E3779B97F4A7C15)
-_B = np.uint64(0xD6E8FEB86659FD93)
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+
+
+class _Hasher:
+    """64-bit hashes of the words of a buffer, each word followed by one blank.
+
+    Two polynomial hashes over the bytes (of mixed byte values, modulo 2^64, different bases) are
+    mixed into one; both come from running sums, so no word becomes an object.
+    """
+
+    def __init__(self):
+        self.byte = [mix64(np.arange(256, dtype=np.uint64) * _A + np.uint64(k + 1)) for k in range(2)]
+        self.powers: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def _grow(self, n: int) -> None:
+        if n <= self.size:
+            return
+        self.size = max(n, 2 * self.size)
+        ones = np.ones(self.size, np.uint64)
+        self.powers = []
+        for base in _BASES:
+            both = []
+            for x in (base, pow(base, -1, 1 << 64)):
+                run = ones.copy()
+                run[1:] = np.uint64(x)
+                both.append(np.cumprod(run, dtype=np.uint64))
+            self.powers.append(tuple(both))
+
+    def words(self, buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, begin, end) of every word."""
+        end = np.flatnonzero(buf == 0x20)
+        if not len(end):
+            return np.zeros(0, np.uint64), end, end
+        begin = np.concatenate([[0], end[:-1] + 1])
+        self._grow(len(buf))
+        h = (end - begin).astype(np.uint64)
+        for byte, (up, down) in zip(self.byte, self.powers, strict=True):
+            upto = np.cumsum(byte[buf] * up[: len(buf)])
+            h = mix64(h * _A + (upto[end] - upto[begin] + byte[buf[begin]] * up[begin]) * down[begin])
+        return h, begin, end
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks of each text: words joined by blanks, number of words, number of owned starts."""
-    memo = WordHash()
+    """Chunks of each text: words each followed by a blank, number of words and of owned starts."""
+    hasher = _Hasher()
     for b in batches:
         texts = b.column("text").cast(pa.binary()).to_pylist()
         langs = b.column("lang").to_pylist()
-        words: list[bytes] = []
-        ends = []
-        for t in texts:
-            words.extend((t or b"").translate(_CUT).replace(b".", b" . ").split())
-            words.append(b".")
-            ends.append(len(words))
-        h = memo.of(words)
-        memo.trim()
-        mark = h == np.uint64(memo[b"."])
+        text = b"".join([(t or b"").translate(_CUT).replace(b".", b" . ") + b" , " for t in texts])
+        text = b" ".join(text.split()) + b" "
+        buf = np.frombuffer(text, np.uint8)
+        h, begin, stop = hasher.words(buf)
         n = len(h)
-        # piece borders: a piece begins after a mark
+        one = stop - begin == 1
+        ends_text = one & (buf[begin] == 0x2C)
+        mark = ends_text | (one & (buf[begin] == 0x2E))
         plain = ~mark
         begins = plain & np.concatenate([[True], mark[:-1]])
         stops = np.flatnonzero(plain & np.concatenate([mark[1:], [True]])) + 1
         # trigger windows lie whole inside a piece
-        window = np.zeros(n, np.uint64)
-        whole = np.zeros(n, bool)
+        window, whole = np.zeros(n, np.uint64), np.zeros(n, bool)
         if n >= OVERLAP:
             m = n - OVERLAP + 1
-            acc = h[:m].copy()
-            ok = plain[:m].copy()
+            acc, ok = h[:m].copy(), plain[:m].copy()
             for j in range(1, OVERLAP):
                 acc = acc * _A + h[j: m + j]
                 ok &= plain[j: m + j]
@@ -82,12 +117,11 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         following = np.concatenate([starts[1:], [n]])
         last = following >= piece_end
         end = np.where(last, piece_end, following + OVERLAP)
-        # a window right at the end of its piece leaves nothing that the chunk before lacks
-        own = np.where(last, end - starts, following - starts)
-        of = np.searchsorted(ends, starts, side="right")
+        own = np.where(last, end, following) - starts
+        of = np.cumsum(ends_text)[starts]
+        cut = zip(begin[starts].tolist(), (stop[end - 1] + 1).tolist(), strict=True)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([langs[d] for d in of.tolist()], pa.string()),
-             pa.array([b" ".join(words[a:e]) for a, e in zip(starts.tolist(), end.tolist(), strict=True)], pa.binary()),
+            [pa.array(langs, pa.string()).take(pa.array(of)), pa.array([text[x:y] for x, y in cut], pa.binary()),
              pa.array(end - starts, pa.int64()), pa.array(own, pa.int64())], names=["lang", "chunk", "n_words", "own"])
 
 
@@ -102,119 +136,125 @@ def chunk_dictionary(docs: DataFrame) -> DataFrame:
     return chunks.groupBy("lang", "chunk", "n_words", "own").agg(F.count(F.lit(1)).alias("freq"))
 
 
+def _with_lang(h: np.ndarray, lang: np.ndarray) -> np.ndarray:
+    return mix64(h ^ lang)
+
+
+def _lang_hashes(langs: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(x.encode("utf-8", "replace")) for x in langs], np.uint64)
+
+
 class _Block:
     """Chunks that are counted together, as arrays over their words."""
 
-    def __init__(self, parts: list[pa.RecordBatch], memo: WordHash):
-        rows = pa.Table.from_batches(parts)
-        self.langs = rows.column("lang").to_pylist()
+    def __init__(self, parts: list[pa.RecordBatch], hasher: _Hasher):
+        rows = pa.Table.from_batches(parts).combine_chunks()
         sizes = rows.column("n_words").to_numpy()
-        self.words = b" ".join(rows.column("chunk").to_pylist()).split()
-        self.h = memo.of(self.words)
-        memo.trim()
-        self.chunk = np.repeat(np.arange(len(sizes)), sizes)
-        begin = np.cumsum(sizes) - sizes
-        at = np.arange(len(self.chunk)) - begin[self.chunk]
-        self.left = sizes[self.chunk] - at              # words from here to the chunk's end
-        self.owned = at < rows.column("own").to_numpy()[self.chunk]
-        self.weight = rows.column("freq").to_numpy()[self.chunk]
-        seed = {x: xxhash.xxh3_64_intdigest(x.encode("utf-8", "replace")) for x in set(self.langs)}
-        self.seed = np.array([seed[x] for x in self.langs], np.uint64)[self.chunk]
-
-    def keys(self, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(n, a, b): two hashes of language and the n words from each position on."""
-        n = len(self.h)
-        a, b = mix64(self.seed + self.h), mix64((self.seed ^ _B) * _A + (self.h ^ _A) * _B)
-        yield 1, a, b
-        for k in range(2, longest + 1):
-            nxt = np.zeros(n, np.uint64)
-            if n >= k:
-                nxt[: n - k + 1] = self.h[k - 1:]
-            a, b = mix64(a * _A + nxt), mix64(b * _B + (nxt ^ _A))
-            yield k, a, b
+        chunk = rows.column("chunk").combine_chunks()
+        at = np.frombuffer(chunk.buffers()[1], np.int32, len(chunk) + 1, chunk.offset * 4)
+        self.text = chunk.buffers()[2].slice(int(at[0]), int(at[-1] - at[0])).to_pybytes()
+        self.h, self.begin, self.end = hasher.words(np.frombuffer(self.text, np.uint8))
+        of = np.repeat(np.arange(len(sizes)), sizes)
+        place = np.arange(len(of)) - (np.cumsum(sizes) - sizes)[of]
+        self.left = sizes[of] - place               # words from here to the chunk's end
+        self.owned = place < rows.column("own").to_numpy()[of]
+        self.weight = rows.column("freq").to_numpy()[of]
+        lang = rows.column("lang").combine_chunks().dictionary_encode()
+        self.langs = lang.dictionary.to_pylist()
+        self.lang = lang.indices.to_numpy()[of]
+        self.h = _with_lang(self.h, _lang_hashes(self.langs)[self.lang])
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
-    memo, held, size = WordHash(), [], 0
+    hasher, held, size = _Hasher(), [], 0
     for b in batches:
         if b.num_rows:
             held.append(b)
-            size += int(np.sum(b.column("n_words").to_numpy()))
-        if size >= BLOCK_WORDS:
-            yield _Block(held, memo)
+            size += b.column("chunk").nbytes
+        if size >= BLOCK_BYTES:
+            yield _Block(held, hasher)
             held, size = [], 0
     if held:
-        yield _Block(held, memo)
-
-
-def _bit(a: np.ndarray, bits: int) -> np.ndarray:
-    return (a & np.uint64(bits - 1)).astype(np.int64)
-
-
-def _groups(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by (a, b) and the first place of each group in it."""
-    order = np.lexsort((b, a))
-    x, y = a[order], b[order]
-    return order, np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
-
+        yield _Block(held, hasher)
+
+
+def _sums(keys: list[np.ndarray], weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first row of each group, sum of its weights). Rows are ordered by a mix of the keys; a
+    group that a collision of the mix divides has several rows, which later sums unite."""
+    mixed = keys[0]
+    for k in keys[1:]:
+        mixed = mix64(mixed * _A + k)
+    order = np.argsort(mixed)
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for k in keys:
+        x = k[order]
+        new[1:] |= x[1:] != x[:-1]
+    first = np.flatnonzero(new)
+    return order[first], np.add.reduceat(weight[order], first)
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block in _blocks(batches):
+        spot = np.flatnonzero(block.owned)
+        at, f = _sums([block.h[spot]], block.weight[spot])
+        at = spot[at]
+        texts = [block.text[x:y] for x, y in zip(block.begin[at].tolist(), block.end[at].tolist(), strict=True)]
+        langs = pa.array(block.langs, pa.string()).take(pa.array(block.lang[at]))
+        yield pa.RecordBatch.from_arrays([langs, pa.array(texts, pa.binary()), pa.array(f)], names=["lang", "phrase", "f"])
+
+
+def _word_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hasher = _Hasher()
+    for b in batches:
+        if b.num_rows:
+            words = b.column("phrase").to_pylist()
+            h, _, _ = hasher.words(np.frombuffer(b" ".join(words) + b" ", np.uint8))
+            h = _with_lang(h, _lang_hashes(b.column("lang").to_pylist()))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(h.view(np.int64))], names=[*b.schema.names, "h"])
 
-def _count(n: int, filter_, bits: int):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("f", pa.int64())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        may = None if filter_ is None else np.frombuffer(filter_.value, np.uint8)
-        for block in _blocks(batches):
-            keep = block.owned & (block.left >= n)
-            a = b = None
-            for k, x, y in block.keys(n):
-                if k == n - 1 and may is not None:
-                    at = _bit(x, bits)
-                    hot = (may[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-                    keep &= hot & np.concatenate([hot[1:], [False]])
-                a, b = x, y
-            spot = np.flatnonzero(keep)
-            if not len(spot):
-                continue
-            a, b, w = a[spot], b[spot], block.weight[spot]
-            order, first = _groups(a, b)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a[order][first].view(np.int64)), pa.array(b[order][first].view(np.int64)),
-                 pa.array(np.add.reduceat(w[order], first))], schema=schema)
-    return run
+def _bit(hashes: list[np.ndarray], bits: int) -> np.ndarray:
+    at = hashes[0]
+    for k, h in enumerate(hashes[1:], 1):
+        at = at ^ (h >> np.uint64(7 * k))
+    return (at & np.uint64(bits - 1)).astype(np.int64)
 
 
-def _texts(longest: int, filter_, bits: int):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("lang", pa.string()), ("phrase", pa.binary()), ("words", pa.int32())])
+def _grams(sizes: range, known: int, filter_, bits: int):
+    """Count n-grams of ``sizes`` words whose parts of ``known`` words may all be frequent."""
+    names = [f"w{k}" for k in range(1, sizes[-1] + 1)]
+    schema = pa.schema([*((x, pa.int64()) for x in names), ("f", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = np.frombuffer(filter_.value, np.uint8)
-        told: set[tuple[int, int]] = set()      # what this task has named already; bounded, then forgotten
         for block in _blocks(batches):
-            for n, a, b in block.keys(longest):
-                at = _bit(a, bits)
-                hot = (may[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-                spot = np.flatnonzero(hot & block.owned & (block.left >= n))
+            n = len(block.h)
+            hot = np.zeros(n, bool)
+            if n >= known:
+                at = _bit([block.h[k: n - known + 1 + k] for k in range(known)], bits)
+                hot[: len(at)] = (may[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+            for size in sizes:
+                spot = np.flatnonzero(block.owned & hot & (block.left >= size))
+                for k in range(1, size - known + 1):
+                    spot = spot[hot[spot + k]]
                 if not len(spot):
                     continue
-                order, first = _groups(a[spot], b[spot])
-                spot = spot[order[first]]
-                rows = [(x, y, p) for x, y, p in zip(a[spot].view(np.int64).tolist(), b[spot].view(np.int64).tolist(), spot.tolist(), strict=True)
-                        if (x, y) not in told]
-                if len(told) > 500_000:
-                    told.clear()
-                told.update((x, y) for x, y, _ in rows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x for x, _, _ in rows], pa.int64()), pa.array([y for _, y, _ in rows], pa.int64()),
-                     pa.array([block.langs[block.chunk[p]] for _, _, p in rows], pa.string()),
-                     pa.array([b" ".join(block.words[p: p + n]) for _, _, p in rows], pa.binary()),
-                     pa.array([n] * len(rows), pa.int32())], schema=schema)
+                keys = [block.h[spot + k] for k in range(size)]
+                at, f = _sums(keys, block.weight[spot])
+                columns = [pa.array(k[at].view(np.int64)) for k in keys]
+                columns += [pa.nulls(len(at), pa.int64())] * (sizes[-1] - size)
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(f)], schema=schema)
     return run
 
 
-def _bitmap(frequent: DataFrame, bits: int):
-    """Broadcast bitmap of the hashes ``a`` (at most ``bits / 8`` bytes reach the driver)."""
-    at = F.col("a").bitwiseAND(F.lit(bits - 1))
-    slices = (frequent.select(F.bitmap_bucket_number(at + 1).alias("slice"), F.bitmap_bit_position(at + 1).alias("bit"))
+def _bitmap(frequent: DataFrame, words: int, bits: int):
+    """Broadcast bitmap of the phrases' hashes (at most ``bits / 8`` bytes reach the driver)."""
+    at = F.col("w1")
+    for k in range(1, words):
+        at = at.bitwiseXOR(F.shiftrightunsigned(f"w{k + 1}", 7 * k))
+    at = at.bitwiseAND(F.lit(bits - 1)) + 1
+    slices = (frequent.select(F.bitmap_bucket_number(at).alias("slice"), F.bitmap_bit_position(at).alias("bit"))
               .groupBy("slice").agg(F.bitmap_construct_agg("bit").alias("bits")))
     whole = np.zeros(bits // 8, np.uint8)
     size = 4096
@@ -228,27 +268,45 @@ def phrase_counts(docs: DataFrame, least: int = 100, longest: int = LONGEST,
     """((lang, phrase, words, f) of every phrase of up to ``longest`` words that occurs ``least``
     times or more in a language, (lang, n) with all word occurrences). Phrases are binary, their
     words joined by single blanks."""
-    if longest > OVERLAP + 1 or filter_bits < 1 << 15 or filter_bits & (filter_bits - 1):
+    if not 1 <= longest <= OVERLAP + 1 or filter_bits < 1 << 15 or filter_bits & (filter_bits - 1):
         raise ValueError("at most OVERLAP + 1 words, and a power of two of bits, 2^15 at least")
     dictionary = materialize(chunk_dictionary(docs), "phrase-chunks")
     totals = dictionary.groupBy("lang").agg(F.sum(F.col("own") * F.col("freq")).alias("n"))
-    frequent, shared = [], None
-    for n in range(1, longest + 1):
-        counted = (dictionary.mapInArrow(_count(n, shared, filter_bits), "a long, b long, f long")
-                   .groupBy("a", "b").agg(F.sum("f").alias("f")).filter(F.col("f") >= least))
-        level = materialize(counted, f"phrase-{n}")
-        frequent.append(level)
-        if n < longest:
-            shared = _bitmap(level, filter_bits)
-    hashes = frequent[0]
-    for level in frequent[1:]:
-        hashes = hashes.unionByName(level)
-    texts = (dictionary.mapInArrow(_texts(longest, _bitmap(hashes, filter_bits), filter_bits),
-                                   "a long, b long, lang string, phrase binary, words int"))
-    named = (texts.join(hashes, ["a", "b"]).groupBy("a", "b")
-             .agg(F.first("lang").alias("lang"), F.first("phrase").alias("phrase"), F.first("words").alias("words"),
-                  F.first("f").alias("f")))
-    return materialize(named.select("lang", "phrase", "words", "f"), "phrase-counts"), totals
+    words = materialize(
+        dictionary.mapInArrow(_words, "lang string, phrase binary, f long")
+        .groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+        .mapInArrow(_word_hashes, "lang string, phrase binary, f long, h long"), "phrase-words")
+    counts = words.select("lang", "phrase", F.lit(1).alias("words"), "f")
+    # two words, three, and then those of four and five by the frequent ones of three
+    steps = [range(2, 3), range(3, 4), range(4, longest + 1)]
+    known, level = 1, words.select(F.col("h").alias("w1"))
+    for sizes in steps:
+        if not sizes or sizes[0] > longest:
+            break
+        names = [f"w{k}" for k in range(1, sizes[-1] + 1)]
+        shared = _bitmap(level, known, filter_bits)
+        level = materialize(
+            dictionary.mapInArrow(_grams(sizes, known, shared, filter_bits), ", ".join(f"{x} long" for x in names) + ", f long")
+            .groupBy(*names).agg(F.sum("f").alias("f")).filter(F.col("f") >= least), f"phrase-{sizes[0]}")
+        known = sizes[0]
+        counts = counts.unionByName(_spelled(level, names, words))
+    return materialize(counts, "phrase-counts"), totals
+
+
+def _spelled(level: DataFrame, names: list[str], words: DataFrame) -> DataFrame:
+    """Frequent phrases with their text, word by word from the frequent words."""
+    text = words.select("h", F.col("lang").alias("_lang"), F.col("phrase").alias("_word"))
+    out = None
+    for k, name in enumerate(names):
+        one = text.withColumnRenamed("h", name)
+        if k == 0:
+            out = level.join(one, name).withColumnsRenamed({"_lang": "lang", "_word": "phrase"})
+        else:
+            more = F.concat("phrase", F.lit(b" "), F.col("_word"))
+            out = (out.join(one.drop("_lang"), name, "left")
+                   .withColumn("phrase", F.coalesce(more, F.col("phrase"))).drop("_word"))
+    size = sum(F.col(x).isNotNull().cast("int") for x in names)
+    return out.select("lang", "phrase", size.alias("words"), "f")
 
 
 def collocations(docs: DataFrame, least: int = 100, longest: int = LONGEST, top: int = 2000,
