@@ -33,6 +33,7 @@ OVERLAP = LONGEST - 1
 TRIGGER = 16
 FILTER_BITS = 1 << 26       # size of the broadcast bitmap
 BLOCK_BYTES = 4 << 20       # bytes of the dictionary that are counted together
+HELD_ROWS = 1_000_000       # sums of blocks that a task adds up before it hands them on
 
 _SEPARATORS = b".,;:!?\x0a\x0b\x0c\x0d"
 # a separator becomes a mark, and can be no part of a word; the comma is free for another mark
@@ -226,8 +227,16 @@ def _grams(sizes: range, known: int, filter_, bits: int):
     names = [f"w{k}" for k in range(1, sizes[-1] + 1)]
     schema = pa.schema([*((x, pa.int64()) for x in names), ("f", pa.int64())])
 
+    def told(size: int, held: list[tuple[list[np.ndarray], np.ndarray]]) -> pa.RecordBatch:
+        keys = [np.concatenate(k) for k in zip(*(k for k, _ in held), strict=True)]
+        at, f = _sums(keys, np.concatenate([f for _, f in held]))
+        columns = [pa.array(k[at].view(np.int64)) for k in keys]
+        columns += [pa.nulls(len(at), pa.int64())] * (sizes[-1] - size)
+        return pa.RecordBatch.from_arrays([*columns, pa.array(f)], schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = np.frombuffer(filter_.value, np.uint8)
+        held: dict[int, list] = {size: [] for size in sizes}    # sums of blocks, added up when they are many
         for block in _blocks(batches):
             n = len(block.h)
             hot = np.zeros(n, bool)
@@ -242,9 +251,13 @@ def _grams(sizes: range, known: int, filter_, bits: int):
                     continue
                 keys = [block.h[spot + k] for k in range(size)]
                 at, f = _sums(keys, block.weight[spot])
-                columns = [pa.array(k[at].view(np.int64)) for k in keys]
-                columns += [pa.nulls(len(at), pa.int64())] * (sizes[-1] - size)
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(f)], schema=schema)
+                held[size].append(([k[at] for k in keys], f))
+                if sum(len(f) for _, f in held[size]) >= HELD_ROWS:
+                    yield told(size, held[size])
+                    held[size] = []
+        for size, some in held.items():
+            if some:
+                yield told(size, some)
     return run
 
 
