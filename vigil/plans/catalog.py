@@ -7,6 +7,7 @@ columns carry the same alias on both sides.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -266,6 +267,57 @@ def q_parse_collected_at(spark, sf_dir):
     return lab.select("seq", "collected_at", parse_iso_ts(F.col("collected_at")).alias("collected_utc"))
 
 
+# One text of each kind that the daily files' grammar (Python's) and a database cast read
+# differently, dealt to the lab rows by key. The oracle's values are Python's own.
+GRAMMAR_TEXTS = (
+    ("1_0", "1_0-2_0", "20260928"), ("1.0d", "1e-5-2", "2026"), ("nan", "nan-inf", "0000-01-01"), ("+.5", "4.0 - 12.0", "0001-01-01"),
+    ("5.", "-1.0-5.0", "9999-12-31T23:59:59"), ("1__0", "12", "9999-12-31T23:59:59-00:01"), ("1e1_0", "5-", "0001-01-01T00:00+00:01"),
+    ("-Infinity", "1-2", "2026-09-28T06:00:00+05:30"), (" 7\t", "0.5-1_0.5", "2026-W40-3"), ("1e400", "1-1e400", "2026W403T12"),
+    ("x", "a-b", "2026-09-28T060000.5-0530"), ("", "", ""), ("0x10", "1-2-3", "2026-09-28T24:00:00"), ("\uff11\uff12", "\u0663-\u0664", "2026-02-29"))
+
+
+def _grammar_values() -> str:
+    """VALUES rows (n, result, lower, upper, collected in microseconds) by float() and fromisoformat()."""
+    def number(text):
+        try:
+            return float(text)
+        except ValueError:
+            return None
+
+    def micros(text):
+        try:
+            t = dt.datetime.fromisoformat(text)
+            t = t.astimezone(dt.timezone.utc).replace(tzinfo=None) if t.tzinfo else t
+        except (ValueError, OverflowError):
+            return None
+        return (t - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+    rows = []
+    for n, (result, rng, collected) in enumerate(GRAMMAR_TEXTS):
+        low, dash, high = rng.partition("-")
+        pair = (number(low), number(high)) if dash else (None, None)
+        pair = pair if None not in pair else (None, None)
+        cells = ["NULL" if x is None else f"'{x!r}'::DOUBLE" for x in (number(result), *pair)]
+        at = micros(collected)
+        rows.append(f"({n}, {', '.join(cells)}, {'NULL' if at is None else f'{at}::BIGINT'})")
+    return ", ".join(rows)
+
+
+@register("grammar_scalars", f"""
+SELECT o_orderkey AS seq, v.result, v.lower_bound, v.upper_bound, v.collected_micros
+FROM orders JOIN (VALUES {_grammar_values()}) v(n, result, lower_bound, upper_bound, collected_micros)
+  ON v.n = o_orderkey % {len(GRAMMAR_TEXTS)}""")
+def q_grammar_scalars(spark, sf_dir):
+    """V8-V10 on texts at the edges of the grammar."""
+    n = (F.col("o_orderkey") % len(GRAMMAR_TEXTS)).cast("int") + 1
+    texts = FX.read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("seq"),
+        *[F.element_at(F.array(*[F.lit(t[k]) for t in GRAMMAR_TEXTS]), n).alias(name)
+          for k, name in enumerate(("result_text", "range_text", "time_text"))])
+    r = parse_range(F.col("range_text"))
+    return texts.select("seq", parse_float(F.col("result_text")).alias("result"), r["lower"].alias("lower_bound"),
+                        r["upper"].alias("upper_bound"), F.unix_micros(parse_iso_ts(F.col("time_text"))).alias("collected_micros"))
+
+
 @register("lab_validate", _labs_sql() + """
 SELECT seq, sim_date, reason FROM lv""")
 def q_lab_validate(spark, sf_dir):
