@@ -46,7 +46,6 @@ LAB_REASONS = ("missing_patient_id", "invalid_test_type", "invalid_result",
                "missing_reference_range", "invalid_reference_range", "invalid_collected_at",
                "duplicate_patient_test")
 LAB_SOURCE = "daily_labs"
-LAB_FILE_PATTERN = r"labs_(\d{8})\.csv$"
 SPEED_LAYER = "speed"
 DAG_ID = "daily_reconciliation"
 

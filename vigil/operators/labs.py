@@ -12,6 +12,7 @@ from vigil.functions import rules as R
 from vigil.functions.parse import parse_float, parse_lab_fields, parse_range, strip
 from vigil.functions.numeric import round_stable
 from vigil.operators.common import evaluate_once
+from vigil.sources.labs_csv import RAW_NAMES, raw_json
 
 LAB_TEXT = ("patient_id", "test_type", "result_value", "reference_range", "collected_at")
 
@@ -91,8 +92,12 @@ def accepted_labs(validated: DataFrame, day_col: str = "sim_date") -> DataFrame:
 def rejected_labs(validated: DataFrame, seq_col: str = "seq", day_col: str = "sim_date",
                   source: str = config.LAB_SOURCE, rejected_at: Column | None = None,
                   columns: Sequence[str] = LAB_TEXT) -> DataFrame:
-    """V7: rejected rows with the original (untrimmed) row as JSON, nulls kept."""
-    raw = F.to_json(F.struct(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"})
+    """V7: rejected rows with the original (untrimmed) row as JSON, nulls kept. Rows of the file
+    reader keep every field under its header name, others the named ``columns``."""
+    if RAW_NAMES in validated.columns:
+        raw = raw_json()
+    else:
+        raw = F.to_json(F.struct(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"})
     return validated.filter(F.col("reason").isNotNull()).select(
         F.lit(source).alias("source"), F.col(day_col), F.col(seq_col).alias("row_number"),
         raw.alias("raw_content"), F.col("reason"),

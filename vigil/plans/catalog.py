@@ -8,6 +8,7 @@ columns carry the same alias on both sides.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -213,6 +214,8 @@ def q_alerts_derive(spark, sf_dir):
 from vigil.functions.parse import parse_float, parse_iso_ts, parse_range, strip  # noqa: E402
 from vigil.operators import labs as LB  # noqa: E402
 from vigil.plans import reconcile as RC  # noqa: E402
+from vigil.session import checkpoint_dir  # noqa: E402
+from vigil.sources import labs_csv as LC  # noqa: E402
 
 
 def _labs_sql(extra: str = "") -> str:
@@ -343,6 +346,28 @@ def q_lab_rejected(spark, sf_dir):
     return LB.rejected_labs(validated_labs(spark, sf_dir)).drop("rejected_at")
 
 
+# A sixth column, with quotes and line breaks, and a patient of its own per order: no duplicates.
+_NOTE = ("CASE o_orderkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'say \"hi\", twice' WHEN 2 THEN 'two' || chr(10) || 'lines, \"\"' "
+         "ELSE 'plain 5\" x' END")
+_CONTENT_COLS = (*FX.LAB_COLS, f"{_NOTE} AS note")
+
+
+@register("lab_reject_content", f"""
+WITH labs AS (SELECT * REPLACE (CASE WHEN trim(patient_id) = '' THEN patient_id ELSE 'P' || seq END AS patient_id)
+    FROM (SELECT {', '.join(_CONTENT_COLS)} FROM orders)),""" + S.lab_ctes() + """
+SELECT 'daily_labs' AS source, sim_date, to_json(struct_pack(patient_id := patient_id, test_type := test_type,
+  result_value := result_value, reference_range := reference_range, collected_at := collected_at, note := note)) AS raw_content, reason
+FROM lv WHERE reason IS NOT NULL""")
+def q_lab_reject_content(spark, sf_dir):
+    """K9, K8 and V7: export, read the files back, and keep rejected rows with all their fields."""
+    rows = FX.read_table(spark, sf_dir, "orders").selectExpr(*_CONTENT_COLS).withColumn(
+        "patient_id", F.when(F.trim("patient_id") == "", F.col("patient_id")).otherwise(F.concat(F.lit("P"), F.col("seq"))))
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/lab-files-{uuid.uuid4().hex}"
+    LC.write_lab_files(rows, folder, extra=("note",))
+    checked = LB.checked_labs(LC.read_lab_files(spark, folder)).checkpoint(eager=True)   # read and parsed once
+    return LB.rejected_labs(LB.first_wins(checked)).select("source", "sim_date", "raw_content", "reason")
+
+
 @register("lab_staged", _labs_sql() + """
 SELECT * FROM staged""")
 def q_lab_staged(spark, sf_dir):

@@ -54,6 +54,12 @@ def close_runs(store: TableStore, outcome: dict, counts: DataFrame, dag_id: str
     store.upsert(df, "pipeline_runs", ["dag_id", "run_id"], keep_first=["started_at"])
 
 
+def fail_run(store: TableStore, day: dt.date) -> None:
+    """A run of ``day`` that ended before any row was read: opened and closed as failed."""
+    open_runs(store, [day])
+    close_runs(store, {day: "failed"}, _stored_counts(store, [day]))
+
+
 def reconcile_daily(store: TableStore, labs: DataFrame, dates: Sequence[dt.date] | None = None,
                     expected_count: int | DataFrame = config.EXPECTED_REPORTS,
                     seq_col: str = "seq") -> dict:
