@@ -3,23 +3,32 @@
 * ``insert_if_absent`` (K5/K6/K7/J3): rows whose key is not yet stored, written to the
   batch's own ``batch_id=N`` folder; a replay of batch N overwrites that folder and is
   anti-joined against every *other* batch, so a replay never duplicates and never loses.
+  Keys of merged batches are looked up in narrow tables bucketed by key hash, so that a batch
+  opens only the buckets its own keys fall in.
 * ``replace_partitions`` (K10-K12): staged then swapped partition folders; partitions named
   in the scope but absent from the data are cleared too (an empty result empties them).
 * ``upsert`` (K13/K14/J4): full-outer merge of the current snapshot with the incoming rows,
-  written as a new numbered snapshot (for small dimension and ledger tables).
+  written as a new numbered snapshot (for small dimension and ledger tables). A snapshot is
+  published under a number that no other writer has taken; the loser merges again.
 
 Only file-system metadata calls run on the driver; every row moves in Spark tasks.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+BUCKET_ROWS = 100_000   # keys of a bucket of a keys table, about
+MOST_BUCKETS = 1 << 16
+ATTEMPTS = 50           # of an upsert that other writers overtake
+
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
@@ -102,63 +111,131 @@ class TableStore:
         keys, prune_cols, layout_cols = list(keys), list(prune_cols), list(layout_cols)
         p = self.path(table)
         batch = dedup_first(df, keys + prune_cols, list(order) or keys)
-        if self._has_data(p):
-            stored = self.spark.read.parquet(p).filter(F.col("batch_id") != F.lit(batch_id))
-            if prune_cols:
-                # distinct partition values of one batch: a few rows, used as a static filter
-                values = batch.select(*prune_cols).distinct().collect()
-                cond = F.lit(False)
-                for v in values:
-                    one = F.lit(True)
-                    for c in prune_cols:
-                        one = one & (F.col(c) == F.lit(v[c]))
-                    cond = cond | one
-                stored = stored.filter(cond)
-            stored = stored.select(*keys, *prune_cols).distinct()
-            batch = batch.join(stored, on=[*keys, *prune_cols], how="left_anti")
+        for stored in self._stored_keys(table, batch, keys, prune_cols, batch_id):
+            batch = batch.join(stored.distinct(), on=[*keys, *prune_cols], how="left_anti")
         target = f"{p}/batch_id={batch_id}"
         staging = self._staging()
-        writer = batch.write.mode("overwrite")
-        if prune_cols or layout_cols:
-            writer = writer.partitionBy(*prune_cols, *layout_cols)
-        writer.parquet(staging)  # computed once, counted from the written files
+        n = self._write(batch, staging, [*prune_cols, *layout_cols])
         self._delete(target)
         self._move(staging, target)
-        return self.spark.read.parquet(target).count() if self._has_data(target) else 0
+        return n
+
+    def _write(self, df: DataFrame, path: str, part_cols: Sequence[str] = ()) -> int:
+        """Write Parquet and count the rows while they are written (no read afterwards)."""
+        seen = Observation()
+        writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+        (writer.partitionBy(*part_cols) if part_cols else writer).parquet(path)
+        return seen.get["n"]
+
+    def _runs(self, table: str) -> list[tuple[int, int, str]]:
+        """Keys tables: (last batch they cover, buckets, path), oldest first."""
+        root = f"{self.root}/_keys/{table}"
+        found = []
+        for name in self._children(root):
+            upto, _, buckets = name.removeprefix("run=").partition("-")
+            if self._exists(f"{root}/{name}/_SUCCESS"):
+                found.append((int(upto), int(buckets), f"{root}/{name}"))
+        return sorted(found)
+
+    def _stored_keys(self, table: str, batch: DataFrame, keys: list[str], prune_cols: list[str],
+                     batch_id: int) -> list[DataFrame]:
+        """Frames that hold every stored key the batch could repeat, of other batches."""
+        p = self.path(table)
+        out = []
+        runs = self._runs(table) if not prune_cols else []
+        covered = runs[-1][0] if runs else -1
+        # folders that no keys table covers: the batches since the last compaction
+        tail = [c for c in self._children(p) if c.startswith("batch_id=") and int(c[9:]) != batch_id
+                and not -(covered + 1) <= int(c[9:]) < 0 and self._has_data(f"{p}/{c}")]
+        if tail:
+            stored = self.spark.read.option("basePath", p).parquet(*[f"{p}/{c}" for c in tail])
+            if prune_cols:
+                # distinct partition values of one batch: a few rows, used as static filters
+                values = batch.select(*prune_cols).distinct().collect()
+                for c in prune_cols:
+                    stored = stored.filter(F.col(c).isin(sorted({v[c] for v in values if v[c] is not None})))
+            out.append(stored.select(*keys, *prune_cols))
+        if runs:
+            # hash classes of the batch's keys: a bounded number, whatever the batch holds
+            most = max(b for _, b, _ in runs)
+            classes = [r[0] for r in batch.select(F.pmod(F.xxhash64(*keys), F.lit(most)).cast("int")).distinct().collect()]
+            for _, buckets, path in runs:
+                wanted = sorted({c % buckets for c in classes})
+                out.append(self.spark.read.parquet(path).filter(F.col("bucket").isin(wanted)).select(*keys))
+        return out
 
     def compact(self, table: str, keys: Sequence[str], up_to_batch: int,
-                order: Sequence[str] = (), prune_cols: Sequence[str] = ()) -> int:
-        """Merge the ``batch_id <= up_to_batch`` folders of an insert-if-absent table into one.
-
-        Micro-batches leave one small folder each; compaction rewrites them (deduplicated on
-        the key, so an interrupted earlier compaction heals) as ``batch_id=-(up_to_batch+1)``,
-        swaps it in, and only then deletes the merged folders. A replay of a merged batch
-        later is anti-joined against the compacted folder and inserts nothing. Returns the
-        number of folders merged.
+                order: Sequence[str] = (), prune_cols: Sequence[str] = (), layout_cols: Sequence[str] = (),
+                bucket_rows: int = BUCKET_ROWS) -> int:
+        """Merge the batches since the last compaction, up to ``up_to_batch``, into one folder.
+
+        Micro-batches leave one small folder each; they are rewritten (first row per key) as
+        ``batch_id=-(up_to_batch+1)``, which is moved in before the merged folders are deleted.
+        Earlier merged folders stay as they are, so a compaction reads what is new. A batch
+        that is already merged but still there (an interrupted compaction, or a replay) is
+        merged again, without keys that are stored.
+
+        A table without ``prune_cols`` also gets a keys table of the merged rows, laid out by
+        ``pmod(xxhash64(keys), B)`` with about ``bucket_rows`` keys a bucket: B, a power of two,
+        grows with the rows, and the bytes that a batch reads do not. Keys tables are merged when
+        they are as large as the next older one together, so their number is logarithmic.
+        Returns the number of folders merged.
         """
         from vigil.operators.events import dedup_first
 
+        keys, prune_cols = list(keys), list(prune_cols)
         p = self.path(table)
-        names = [c for c in self._children(p) if c.startswith("batch_id=")]
-        merged = [c for c in names if int(c.split("=", 1)[1]) <= up_to_batch]
-        if len(merged) < 2:
+        ids = sorted(int(c[9:]) for c in self._children(p) if c.startswith("batch_id="))
+        done = max([-i - 1 for i in ids if i < 0], default=-1)
+        merged = [i for i in ids if 0 <= i <= up_to_batch]
+        if len(merged) < 2 or up_to_batch <= done:
             return 0
-        ids = [int(c.split("=", 1)[1]) for c in merged]
-        rows = self.spark.read.parquet(p).filter(F.col("batch_id").isin(ids)).drop("batch_id")
-        compacted = dedup_first(rows, list(keys) + list(prune_cols), list(order) or list(keys))
-        staging = self._staging()
-        writer = compacted.write.mode("overwrite")
-        if prune_cols:
-            writer = writer.partitionBy(*prune_cols)
-        writer.parquet(staging)
-        target = f"{p}/batch_id={-(up_to_batch + 1)}"
-        self._delete(target)
-        self._move(staging, target)
-        for c in merged:
-            if c != target.rsplit("/", 1)[1]:
-                self._delete(f"{p}/{c}")
+        paths = [f"{p}/batch_id={i}" for i in merged if self._has_data(f"{p}/batch_id={i}")]
+        if paths:
+            rows = self.spark.read.option("basePath", p).parquet(*paths).drop("batch_id")
+            compacted = dedup_first(rows, keys + prune_cols, list(order) or keys)
+            if merged[0] <= done:
+                old = [f"{p}/batch_id={i}" for i in ids if i < 0 and self._has_data(f"{p}/batch_id={i}")]
+                stored = self.spark.read.option("basePath", p).parquet(*old).select(*keys, *prune_cols)
+                compacted = compacted.join(stored, on=[*keys, *prune_cols], how="left_anti")
+            staging = self._staging()
+            self._write(compacted, staging, [*prune_cols, *layout_cols])
+            target = f"{p}/batch_id={-(up_to_batch + 1)}"
+            self._delete(target)
+            self._move(staging, target)
+            if not prune_cols:
+                self._add_keys(table, keys, up_to_batch, bucket_rows)
+        for i in merged:
+            self._delete(f"{p}/batch_id={i}")
         return len(merged)
 
+    def _add_keys(self, table: str, keys: list[str], upto: int, bucket_rows: int) -> None:
+        """A keys table of the merged folders that none covers yet, merged with smaller ones."""
+        p, runs = self.path(table), self._runs(table)
+        covered = runs[-1][0] if runs else -1
+        fresh = [f"{p}/{c}" for c in self._children(p) if c.startswith("batch_id=-") and int(c[9:]) < -(covered + 1)
+                 and self._has_data(f"{p}/{c}")]
+        if not fresh:
+            return
+        frame = self.spark.read.option("basePath", p).parquet(*fresh).select(*keys)
+        n, joined = frame.count(), []
+        for run in reversed(runs):      # counts come from file footers
+            size = self.spark.read.parquet(run[2]).count()
+            if size > n:
+                break
+            frame, n = frame.unionByName(self.spark.read.parquet(run[2]).select(*keys)), n + size
+            joined.append(run[2])
+        buckets = 1
+        while buckets * bucket_rows < n and buckets < MOST_BUCKETS:
+            buckets *= 2
+        staging = self._staging()
+        (frame.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+         .repartition(buckets, "bucket").sortWithinPartitions("bucket", *keys)
+         .write.partitionBy("bucket").parquet(staging))
+        self._move(staging, f"{self.root}/_keys/{table}/run={upto}-{buckets}")
+        for path in joined:             # the new run covers them; a leftover is only read twice
+            self._delete(path)
+
     # ------------------------------------------------------------------ replace partitions
     def replace_partitions(self, df: DataFrame, table: str, part_cols: Sequence[str],
                            scope: Iterable[dict]) -> dict:
@@ -173,24 +250,27 @@ class TableStore:
         dirs = ["/".join(f"{c}={s[c]}" for c in part_cols) for s in scope]
         if not dirs:
             return {"deleted": 0, "inserted": 0}
-        cond = None
-        for s in scope:
-            one = None
-            for c in part_cols:
-                eq = F.col(c).cast("string") == F.lit(str(s[c]))
-                one = eq if one is None else (one & eq)
-            cond = one if cond is None else (cond | one)
+        # one key of partition columns alone, so it prunes folders
+        cond = F.concat_ws("/", *[F.col(c).cast("string") for c in part_cols]).isin(
+            ["/".join(str(s[c]) for c in part_cols) for s in scope])
         deleted = 0
         if self._has_data(p):
-            deleted = self.spark.read.parquet(p).filter(cond).count()
-        staging = self._staging()
-        df.filter(cond).write.mode("overwrite").partitionBy(*part_cols).parquet(staging)
-        inserted = self.spark.read.parquet(staging).count() if self._has_data(staging) else 0
+            deleted = self.spark.read.parquet(p).filter(cond).count()    # from file footers
+        staging, aside = self._staging(), self._staging()
+        inserted = self._write(df.filter(cond), staging, part_cols)
         for d in dirs:
-            self._delete(f"{p}/{d}")
-            src = f"{staging}/{d}"
-            if self._exists(src):
-                self._move(src, f"{p}/{d}")
+            # the old partition stands aside until the new one is in its place
+            had = self._exists(f"{p}/{d}")
+            if had:
+                self._move(f"{p}/{d}", f"{aside}/{d}")
+            if self._exists(f"{staging}/{d}"):
+                try:
+                    self._move(f"{staging}/{d}", f"{p}/{d}")
+                except Exception:
+                    if had:
+                        self._move(f"{aside}/{d}", f"{p}/{d}")
+                    raise
+        self._delete(aside)
         self._delete(staging)
         return {"deleted": deleted, "inserted": inserted}
 
@@ -199,25 +279,84 @@ class TableStore:
                keep_first: Sequence[str] = (), order: str | None = None,
                keep_versions: int = 2) -> None:
         """Insert new keys, update existing ones; ``keep_first`` columns keep their stored
-        value. Within ``df`` the last row per key (by ``order``) wins."""
+        value. Within ``df`` the last row per key by ``order`` wins, without it the greatest.
+
+        The snapshot is written aside first and then takes the next number; when another writer
+        has taken it, the rows are merged anew with that writer's snapshot.
+        """
         keys = list(keys)
-        incoming = latest_per_key(df, keys, order) if order else df.dropDuplicates(keys)
-        if order:
-            incoming = incoming.drop(order)
+        incoming = latest_per_key(df, keys, order).drop(order) if order else greatest_per_key(df, keys)
         p = self.path(table)
-        versions = self._versions(p)
-        if versions:
-            current = self.spark.read.parquet(f"{p}/{versions[-1]}")
-            merged = merge_upsert(current, incoming, keys, keep_first)
-            nxt = int(versions[-1][2:]) + 1
-        else:
+        for _ in range(ATTEMPTS):
+            self._settle(p)
+            versions = self._versions(p)
             merged, nxt = incoming, 1
-        staging = self._staging()
-        merged.write.parquet(staging)
-        self._delete(f"{p}/v={nxt:08d}")  # a torn snapshot of an earlier run
-        self._move(staging, f"{p}/v={nxt:08d}")
-        for old in (versions + [f"v={nxt:08d}"])[:-keep_versions]:
-            self._delete(f"{p}/{old}")
+            if versions:
+                current = self.spark.read.parquet(f"{p}/{versions[-1]}")
+                merged, nxt = merge_upsert(current, incoming, keys, keep_first), int(versions[-1][2:]) + 1
+            staging = self._staging()
+            try:
+                merged.write.parquet(staging)
+            except Exception:
+                if self._versions(p) == versions:
+                    raise
+                continue                # the snapshot read has been replaced and cleared away since
+            self._set_torn_aside(f"{p}/v={nxt:08d}")
+            if self._claim(p, nxt, staging):
+                self._settle(p)
+                for old in self._versions(p)[:-keep_versions]:
+                    self._delete(f"{p}/{old}")
+                return
+            self._delete(staging)
+        raise OSError(f"{p}: other writers were faster {ATTEMPTS} times")
+
+    def _set_torn_aside(self, path: str) -> None:
+        """A folder without _SUCCESS in a snapshot's place is left of a crash."""
+        if self._exists(path) and not self._exists(f"{path}/_SUCCESS"):
+            aside = self._staging()
+            self._move(path, aside)
+            if self._exists(f"{aside}/_SUCCESS"):   # another writer's snapshot came between
+                self._move(aside, path)
+            else:
+                self._delete(aside)
+
+    def _claim(self, p: str, version: int, staging: str) -> bool:
+        """Take a snapshot number for a written snapshot; False if it is taken. This is the commit:
+        the file names the snapshot, so that anybody can move it into place."""
+        at = self._Path(f"{p}/_commits/v={version:08d}")
+        try:
+            out = self._fs.create(at, False)
+        except Py4JJavaError as exc:
+            if "AlreadyExists" in exc.java_exception.getClass().getName():
+                return False
+            raise
+        out.writeBytes(staging)
+        out.close()
+        return True
+
+    def _settle(self, p: str) -> None:
+        """Move the last claimed snapshot into place, if its writer has not done so."""
+        claims = self._Path(f"{p}/_commits")
+        if not self._fs.exists(claims):
+            return
+        name = max((s.getPath().getName() for s in self._fs.listStatus(claims)), default=None)
+        for _ in range(100):
+            if name is None or self._exists(f"{p}/{name}/_SUCCESS"):
+                return
+            at = self._Path(f"{p}/_commits/{name}")
+            size = self._fs.getFileStatus(at).getLen()
+            if size:
+                stream = self._fs.open(at)
+                staging = bytes(stream.readNBytes(size)).decode()
+                stream.close()
+                try:
+                    self._fs.rename(self._Path(staging), self._Path(f"{p}/{name}"))
+                except Py4JJavaError:   # moved by another writer meanwhile
+                    pass
+            else:
+                time.sleep(0.1)         # its writer is about to name the snapshot
+        if not self._exists(f"{p}/{name}/_SUCCESS"):
+            self._delete(f"{p}/_commits/{name}")    # claimed by a writer that ended before it named a snapshot
 
 
 def new_rows(batch: DataFrame, stored_keys: DataFrame, keys: Sequence[str],
@@ -230,6 +369,15 @@ def new_rows(batch: DataFrame, stored_keys: DataFrame, keys: Sequence[str],
     return first.join(stored_keys.select(*keys).distinct(), on=keys, how="left_anti")
 
 
+def greatest_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: the greatest by its other columns in order, so that reruns agree."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    return (df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("__row"))
+            .select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns]))
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Last row per key by ``order`` (a partial aggregate, skew-safe)."""
     rest = [c for c in df.columns if c not in keys and c != order]

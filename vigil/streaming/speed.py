@@ -59,6 +59,11 @@ def trend_stream(accepted: DataFrame, duration: str = config.WINDOW_DURATION) ->
     return EV.window_trends(EV.classify(accepted), time_col="event_timestamp", duration=duration)
 
 
+COMPACT_EVERY = 100     # micro-batches between two compactions of a table
+TREND_KEYS = ["patient_id", "window_start", "window_end"]
+ALERT_KEYS = ["patient_id", "rule_triggered", "severity", "triggered_at", "source_layer"]
+
+
 def raw_rows(batch: DataFrame, ingested_at: dt.datetime) -> DataFrame:
     """Stored raw shape: decimals at the sink, one ``ingested_at`` per batch, event date."""
     return batch.select(
@@ -78,6 +83,8 @@ def write_raw_batch(store: TableStore):
         try:
             store.insert_if_absent(raw_rows(batch, now), "raw_vitals", ["event_id"], batch_id,
                                    order=["event_ts"], layout_cols=["event_date"])
+            if (batch_id + 1) % COMPACT_EVERY == 0:
+                store.compact("raw_vitals", ["event_id"], batch_id - 1, order=["event_ts"], layout_cols=["event_date"])
         finally:
             batch.unpersist()
     return run
@@ -92,13 +99,13 @@ def write_trend_batch(store: TableStore):
             # the date of a window (of an alert) is a function of its key: stored rows are
             # partitioned by it, and the anti join reads only the dates of this batch
             store.insert_if_absent(stored.withColumn("window_date", F.to_date("window_start")),
-                                   "vitals_trends", ["patient_id", "window_start", "window_end"],
-                                   batch_id, prune_cols=["window_date"])
+                                   "vitals_trends", TREND_KEYS, batch_id, prune_cols=["window_date"])
             alerts = EV.derive_alerts(stored, flag_col="risk_flag_realtime")
             store.insert_if_absent(alerts.withColumn("alert_date", F.to_date("triggered_at")),
-                                   "alerts", ["patient_id", "rule_triggered", "severity",
-                                              "triggered_at", "source_layer"],
-                                   batch_id, prune_cols=["alert_date"])
+                                   "alerts", ALERT_KEYS, batch_id, prune_cols=["alert_date"])
+            if (batch_id + 1) % COMPACT_EVERY == 0:
+                store.compact("vitals_trends", TREND_KEYS, batch_id - 1, prune_cols=["window_date"])
+                store.compact("alerts", ALERT_KEYS, batch_id - 1, prune_cols=["alert_date"])
         finally:
             batch.unpersist()
     return run
