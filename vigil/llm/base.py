@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -31,6 +32,28 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# paths that the open scope has written; without a scope tables stay
+_scope: list[str] | None = None
+
+
+@contextlib.contextmanager
+def scoped_tables() -> Iterator[list[str]]:
+    """Note the tables that are written inside, so that their owner can delete them later."""
+    global _scope
+    outer, _scope = _scope, []
+    try:
+        yield _scope
+    finally:
+        _scope = outer
+
+
+def delete_tables(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    paths.clear()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet in the shared folder and read it back.
 
@@ -38,6 +61,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = table_path(df.sparkSession, name)
     df.write.parquet(path)
+    if _scope is not None:
+        _scope.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,11 +1,12 @@
 """Token counts under a unigram vocabulary: dynamic programming shared over a trie of words.
 
-Each task inserts the distinct pre-tokens it meets in a trie (here: sorted, so that a shared
-prefix is a run of neighbours) and computes the unigram forward scores (best log score and
-its number of tokens after each character) once per shared prefix; the score row of a prefix
-is kept while its subtree is walked. The count at a pre-token's end is its terminal count; a
-document's count is the sum over its pre-tokens. No shuffle; the table of terminal counts is
-emptied when it is large, so memory is bounded.
+Each task inserts the distinct pre-tokens that it meets in one trie. A node stands for a prefix
+and holds its unigram forward scores (best log score and its number of tokens); they are
+computed when the node is made, once per shared prefix, from the nodes above it. Pieces that may
+end there are found by walking a trie of the reversed vocabulary back from the node, so a suffix
+that begins no piece ends the search. The tokens at a pre-token's last node are its terminal
+count; a document's count is the sum over its pre-tokens. No shuffle; the trie and the table of
+terminal counts are emptied when they are large, so memory is bounded.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from vigil.llm.base import map_rows
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"            # begins a word
 MOST_PIECES = 1_000_000    # bound of the broadcast vocabulary
-MOST_TERMINALS = 200_000   # terminal counts a task remembers
+MOST_TERMINALS = 1_000_000 # terminal counts a task remembers
+MOST_NODES = 1_500_000     # nodes of its trie
 
 
 def load_pieces(path: str = VOCABULARY) -> dict[str, float]:
@@ -46,54 +48,70 @@ def unknown_score(pieces: dict[str, float]) -> float:
     return min(pieces.values(), default=0.0) - 10.0
 
 
-def terminal_counts(words: list[str], pieces: dict[str, float], longest: int, unknown: float) -> dict[str, int]:
-    """Tokens of each word on its best path; ties go to fewer tokens. Words must be sorted.
+class Trie:
+    """Prefixes of the inserted words with their best path; ties go to fewer tokens.
 
     A character no piece covers costs as many tokens as it has UTF-8 bytes.
     """
-    out: dict[str, int] = {}
-    rows: list[tuple[float, int]] = [(0.0, 0)]  # rows[i]: best (score, -tokens) after i characters
-    last = ""
-    for word in words:
-        shared = 0
-        for x, y in zip(last, word, strict=False):
-            if x != y:
-                break
-            shared += 1
-        del rows[shared + 1:]
-        for end in range(shared + 1, len(word) + 1):
-            s, t = rows[end - 1]
-            best = (s + unknown, t - len(word[end - 1].encode("utf-8", "replace")))
-            for start in range(max(0, end - longest), end):
-                p = pieces.get(word[start:end])
-                if p is not None:
-                    s, t = rows[start]
-                    if (s + p, t - 1) > best:
-                        best = (s + p, t - 1)
-            rows.append(best)
-        out[word] = -rows[len(word)][1]
-        last = word
-    return out
+
+    def __init__(self, pieces: dict[str, float]):
+        self.unknown = unknown_score(pieces)
+        self.suffixes: dict = {}        # vocabulary read from the end; "" holds a piece's score
+        for piece, score in pieces.items():
+            at = self.suffixes
+            for c in reversed(piece):
+                at = at.setdefault(c, {})
+            if piece:
+                at[""] = score
+        self.forget()
+
+    def forget(self) -> None:
+        self.child: dict[tuple[int, str], int] = {}
+        self.score = [0.0]
+        self.tokens = [0]
+
+    def count(self, word: str) -> int:
+        """Insert ``word``; the number of tokens on its best path."""
+        child, score, tokens = self.child, self.score, self.tokens
+        node, path = 0, [0]
+        for end, c in enumerate(word):
+            key = node, c
+            node = child.get(key)
+            if node is None:
+                up = path[-1]
+                best, fewest = score[up] + self.unknown, tokens[up] + len(c.encode("utf-8", "replace"))
+                at, start = self.suffixes, end
+                while start >= 0 and (at := at.get(word[start])) is not None:
+                    p = at.get("")
+                    if p is not None:
+                        up = path[start]
+                        s, t = score[up] + p, tokens[up] + 1
+                        if s > best or (s == best and t < fewest):
+                            best, fewest = s, t
+                    start -= 1
+                node = child[key] = len(score)
+                score.append(best)
+                tokens.append(fewest)
+            path.append(node)
+        return tokens[node]
 
 
 def _count(shared):
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        pieces = shared.value
-        longest = max(map(len, pieces), default=1)
-        unknown = unknown_score(pieces)
+        trie = Trie(shared.value)
         known: dict[bytes, int] = {}
         for b in batches:
             out: dict = {"doc_id": b["doc_id"], "n_pretokens": [], "n_tokens": []}
             split = [(t or b"").split() for t in b["text"]]
-            new = {w for words in split for w in words if w not in known}
-            named = {MARK + w.decode("utf-8", "replace"): w for w in new}
-            counted = terminal_counts(sorted(named), pieces, longest, unknown)
-            known.update((w, counted[MARK + w.decode("utf-8", "replace")]) for w in new)
+            for w in {w for words in split for w in words if w not in known}:
+                known[w] = trie.count(MARK + w.decode("utf-8", "replace"))
             for words in split:
                 out["n_pretokens"].append(len(words))
                 out["n_tokens"].append(sum(map(known.__getitem__, words)))
             if len(known) > MOST_TERMINALS:
                 known.clear()
+            if len(trie.score) > MOST_NODES:
+                trie.forget()
             yield out
     return run
 
