@@ -8,17 +8,34 @@ of ``documents``; every stage works on all rows that its predecessor kept.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.llm import decontaminate, langid, line_dedup, mixing, near_dedup
-from vigil.llm.base import materialize, set_batch_rows
+from vigil.llm.base import delete_tables, materialize, scoped_tables, set_batch_rows
 
 
 # near duplicates of the corpus share four fifths of their 5-word shingles (op1 has bounds of its own)
 WIDTH, ALIKE = 5, 80
 
 
+_left: list[str] = []    # tables of the stage that ran last
+
+
+def _stage(fn):
+    """A stage's tables live until the next stage begins, when its output has been written."""
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        delete_tables(spark, _left)
+        with scoped_tables() as made:
+            out = fn(spark, docs, sf_dir)
+        _left.extend(made)
+        return out
+    return run_stage
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """(doc_id, text) with a hash of the text as doc_id: what is decided on the text alone is
     joined by it, whether ids are null or repeat."""
@@ -31,6 +48,7 @@ def _only(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     return docs.join(keys, F.xxhash64("text") == F.col("_cp_key"), "left_semi")
 
 
+@_stage
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; those far from every centroid go.
 
@@ -40,12 +58,14 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _only(docs, langid.identify(_keyed(docs), langid.fit(docs)).filter(~F.col("rejected")))
 
 
+@_stage
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that repeat earlier ones; those left without a line go."""
     set_batch_rows(spark)
     return line_dedup.dedup_lines(docs)
 
 
+@_stage
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one of smallest doc_id (null last).
 
@@ -69,6 +89,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return chosen.unionByName(named).unionByName(blank.filter("doc_id is null")).drop("_cp_key")
 
 
+@_stage
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of ``benchmark``; each row is judged by its own text."""
     set_batch_rows(spark)
@@ -76,6 +97,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return _only(docs, decontaminate.decontaminate(_keyed(docs), benchmark).filter(~F.col("contaminated")))
 
 
+@_stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes of each document: doc_id, source, size, copies, taken.
 
