@@ -6,13 +6,12 @@ per-patient loop of a row store becomes one grouped aggregate plus one as-of joi
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil import config
 from vigil.functions import rules as R
-from vigil.operators.asof import asof_join
-from vigil.operators.labs import lab_evidence
+from vigil.operators.labs import lab_flags
 
 REPORT_COLUMNS = ("sim_date", "patient_id", "trend_summary", "lab_summary",
                   "operational_risk_flag", "data_quality_note")
@@ -59,14 +58,25 @@ def report_day(ts: Column) -> Column:
     return F.to_date(ts + F.expr("INTERVAL 999999 MICROSECONDS"))
 
 
-def latest_per_report_day(trends: DataFrame, fact_cols: list[str]) -> DataFrame:
-    """One row per (patient, report day): its latest window, ties broken like the as-of
-    join (largest row). The latest trend on or before day D is the latest of these over the
-    days up to D, so the as-of join shuffles one row per patient-day instead of every
-    window; ``max(struct)`` is a partial aggregate, reduced before the shuffle."""
-    best = F.max(F.struct(*[F.col(c) for c in fact_cols])).alias("__best")
-    return (trends.groupBy("patient_id", report_day(F.col("window_end")).alias("__rd")).agg(best)
-            .select("patient_id", *[F.col("__best." + c).alias(c) for c in fact_cols]))
+def day_grid(staged: DataFrame, trends: DataFrame, fact_cols: list[str], day_col: str = "sim_date") -> DataFrame:
+    """One row per (patient, day) with labs: their counts, and the latest trend up to that day.
+
+    Lab rows and trend windows meet in one aggregate per (patient, report day), whose partial
+    sums leave one row per patient-day of either; the latest trend is then carried over those
+    rows of a patient. A day's latest window is the largest of its rows, as in the as-of join;
+    no table is joined, and the window holds days, not events.
+    """
+    fact = F.struct(*[F.col(c) for c in fact_cols])
+    windows = trends.select("patient_id", report_day(F.col("window_end")).alias(day_col), fact.alias("__fact"),
+                            F.lit(0).alias("__lab"), F.lit(False).alias("out_of_range"))
+    labs = lab_flags(staged).select("patient_id", F.col(day_col), F.lit(None).cast(windows.schema["__fact"].dataType).alias("__fact"),
+                                    F.lit(1).alias("__lab"), "out_of_range")
+    grid = windows.unionByName(labs).groupBy("patient_id", day_col).agg(
+        F.max("__fact").alias("__fact"), F.sum("__lab").alias("lab_count"), F.count_if("out_of_range").alias("abnormal_labs"))
+    upto = Window.partitionBy("patient_id").orderBy(day_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = grid.withColumn("__fact", F.last("__fact", ignorenulls=True).over(upto)).filter(F.col("lab_count") > 0)
+    return carried.select("patient_id", day_col, "lab_count", "abnormal_labs", R.risk_tier(F.col("abnormal_labs")).alias("lab_flag"),
+                          F.col("__fact").isNotNull().alias("trend_available"), *[F.col(f"__fact.{c}").alias(c) for c in fact_cols])
 
 
 def daily_risk_report(staged: DataFrame, trends: DataFrame, day_col: str = "sim_date",
@@ -77,12 +87,9 @@ def daily_risk_report(staged: DataFrame, trends: DataFrame, day_col: str = "sim_
     avg_temp, abnormal_count, risk_flag_realtime``). Patients without labs that day get
     no report; patients without an earlier trend get the "no evidence" branch.
     """
-    evidence = lab_evidence(staged, day_col).withColumn("__probe_ts", day_end(day_col))
     fact_cols = ["window_end", "avg_hr", "avg_spo2", "avg_temp", "abnormal_count",
                  "risk_flag_realtime"]
-    joined = asof_join(evidence, latest_per_report_day(trends, fact_cols), by=["patient_id"],
-                       probe_ts="__probe_ts", fact_ts="window_end", fact_cols=fact_cols,
-                       matched_col="trend_available")
+    joined = day_grid(staged, trends, fact_cols, day_col)
 
     trend_flag = F.when(F.col("trend_available"), F.col("risk_flag_realtime")).otherwise(F.lit("normal"))
     summary = F.when(
