@@ -96,7 +96,6 @@ def _brute_phrases(rows, least, longest, top):
 @pytest.mark.parametrize(("bits", "block", "trigger"), [(1 << 26, 4 << 20, 16), (1 << 15, 5000, 1), (1 << 15, 200, 3)])
 def test_collocations_match_brute_force(monkeypatch, docs, bits, block, trigger):
     monkeypatch.setattr(collocations, "BLOCK_BYTES", block)
-    monkeypatch.setattr(collocations, "HELD_ROWS", block)
     monkeypatch.setattr(collocations, "TRIGGER", trigger)
     rng = random.Random(11)
     vocab = [f"w{i}" for i in range(12)] + ["É", "A", "漢", "\x1cx"]

@@ -9,7 +9,7 @@ once. The dictionary holds every distinct chunk of a language with its parse fre
 n-grams are counted inside the dictionary, weighted by it.
 
 Counting goes by length. A phrase that occurs ``least`` times has parts that do, so n-grams are
-counted only where their shorter parts may be frequent. "May be" is a bitmap of hashes of fixed
+counted only where both their parts of one word less may be frequent. "May be" is a bitmap of hashes of fixed
 size (broadcast; a false positive is only counted in vain, a frequent phrase is never missed).
 Words are counted by their text, longer phrases by the 64-bit hashes of their words and language,
 one column a word: the text of a frequent phrase is found again by joining its words, and no
@@ -33,7 +33,6 @@ OVERLAP = LONGEST - 1
 TRIGGER = 16
 FILTER_BITS = 1 << 26       # size of the broadcast bitmap
 BLOCK_BYTES = 4 << 20       # bytes of the dictionary that are counted together
-HELD_ROWS = 1_000_000       # sums of blocks that a task adds up before it hands them on
 
 _SEPARATORS = b".,;:!?\x0a\x0b\x0c\x0d"
 # a separator becomes a mark, and can be no part of a word; the comma is free for another mark
@@ -222,42 +221,24 @@ def _bit(hashes: list[np.ndarray], bits: int) -> np.ndarray:
     return (at & np.uint64(bits - 1)).astype(np.int64)
 
 
-def _grams(sizes: range, known: int, filter_, bits: int):
-    """Count n-grams of ``sizes`` words whose parts of ``known`` words may all be frequent."""
-    names = [f"w{k}" for k in range(1, sizes[-1] + 1)]
-    schema = pa.schema([*((x, pa.int64()) for x in names), ("f", pa.int64())])
-
-    def told(size: int, held: list[tuple[list[np.ndarray], np.ndarray]]) -> pa.RecordBatch:
-        keys = [np.concatenate(k) for k in zip(*(k for k, _ in held), strict=True)]
-        at, f = _sums(keys, np.concatenate([f for _, f in held]))
-        columns = [pa.array(k[at].view(np.int64)) for k in keys]
-        columns += [pa.nulls(len(at), pa.int64())] * (sizes[-1] - size)
-        return pa.RecordBatch.from_arrays([*columns, pa.array(f)], schema=schema)
+def _grams(size: int, filter_, bits: int):
+    """Count n-grams of ``size`` words whose two parts of one word less may both be frequent."""
+    schema = pa.schema([*((f"w{k}", pa.int64()) for k in range(1, size + 1)), ("f", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = np.frombuffer(filter_.value, np.uint8)
-        held: dict[int, list] = {size: [] for size in sizes}    # sums of blocks, added up when they are many
         for block in _blocks(batches):
             n = len(block.h)
-            hot = np.zeros(n, bool)
-            if n >= known:
-                at = _bit([block.h[k: n - known + 1 + k] for k in range(known)], bits)
+            hot = np.zeros(n + 1, bool)
+            if n >= size - 1:
+                at = _bit([block.h[k: n - size + 2 + k] for k in range(size - 1)], bits)
                 hot[: len(at)] = (may[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-            for size in sizes:
-                spot = np.flatnonzero(block.owned & hot & (block.left >= size))
-                for k in range(1, size - known + 1):
-                    spot = spot[hot[spot + k]]
-                if not len(spot):
-                    continue
-                keys = [block.h[spot + k] for k in range(size)]
-                at, f = _sums(keys, block.weight[spot])
-                held[size].append(([k[at] for k in keys], f))
-                if sum(len(f) for _, f in held[size]) >= HELD_ROWS:
-                    yield told(size, held[size])
-                    held[size] = []
-        for size, some in held.items():
-            if some:
-                yield told(size, some)
+            spot = np.flatnonzero(block.owned & hot[:-1] & hot[1:] & (block.left >= size))
+            if not len(spot):
+                continue
+            keys = [block.h[spot + k] for k in range(size)]
+            at, f = _sums(keys, block.weight[spot])
+            yield pa.RecordBatch.from_arrays([*(pa.array(k[at].view(np.int64)) for k in keys), pa.array(f)], schema=schema)
     return run
 
 
@@ -290,18 +271,13 @@ def phrase_counts(docs: DataFrame, least: int = 100, longest: int = LONGEST,
         .groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
         .mapInArrow(_word_hashes, "lang string, phrase binary, f long, h long"), "phrase-words")
     counts = words.select("lang", "phrase", F.lit(1).alias("words"), "f")
-    # two words, three, and then those of four and five by the frequent ones of three
-    steps = [range(2, 3), range(3, 4), range(4, longest + 1)]
-    known, level = 1, words.select(F.col("h").alias("w1"))
-    for sizes in steps:
-        if not sizes or sizes[0] > longest:
-            break
-        names = [f"w{k}" for k in range(1, sizes[-1] + 1)]
-        shared = _bitmap(level, known, filter_bits)
+    level = words.select(F.col("h").alias("w1"))
+    for size in range(2, longest + 1):
+        names = [f"w{k}" for k in range(1, size + 1)]
+        shared = _bitmap(level, size - 1, filter_bits)
         level = materialize(
-            dictionary.mapInArrow(_grams(sizes, known, shared, filter_bits), ", ".join(f"{x} long" for x in names) + ", f long")
-            .groupBy(*names).agg(F.sum("f").alias("f")).filter(F.col("f") >= least), f"phrase-{sizes[0]}")
-        known = sizes[0]
+            dictionary.mapInArrow(_grams(size, shared, filter_bits), ", ".join(f"{x} long" for x in names) + ", f long")
+            .groupBy(*names).agg(F.sum("f").alias("f")).filter(F.col("f") >= least), f"phrase-{size}")
         counts = counts.unionByName(_spelled(level, names, words))
     return materialize(counts, "phrase-counts"), totals
 
@@ -309,17 +285,11 @@ def phrase_counts(docs: DataFrame, least: int = 100, longest: int = LONGEST,
 def _spelled(level: DataFrame, names: list[str], words: DataFrame) -> DataFrame:
     """Frequent phrases with their text, word by word from the frequent words."""
     text = words.select("h", F.col("lang").alias("_lang"), F.col("phrase").alias("_word"))
-    out = None
-    for k, name in enumerate(names):
-        one = text.withColumnRenamed("h", name)
-        if k == 0:
-            out = level.join(one, name).withColumnsRenamed({"_lang": "lang", "_word": "phrase"})
-        else:
-            more = F.concat("phrase", F.lit(b" "), F.col("_word"))
-            out = (out.join(one.drop("_lang"), name, "left")
-                   .withColumn("phrase", F.coalesce(more, F.col("phrase"))).drop("_word"))
-    size = sum(F.col(x).isNotNull().cast("int") for x in names)
-    return out.select("lang", "phrase", size.alias("words"), "f")
+    out = level.join(text.withColumnRenamed("h", names[0]), names[0]).withColumnsRenamed({"_lang": "lang", "_word": "phrase"})
+    for name in names[1:]:
+        out = (out.join(text.drop("_lang").withColumnRenamed("h", name), name)
+               .withColumn("phrase", F.concat("phrase", F.lit(b" "), F.col("_word"))).drop("_word"))
+    return out.select("lang", "phrase", F.lit(len(names)).alias("words"), "f")
 
 
 def collocations(docs: DataFrame, least: int = 100, longest: int = LONGEST, top: int = 2000,
