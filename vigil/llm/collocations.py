@@ -32,7 +32,7 @@ LONGEST = 5
 OVERLAP = LONGEST - 1
 TRIGGER = 16
 FILTER_BITS = 1 << 26       # size of the broadcast bitmap
-BLOCK_BYTES = 4 << 20       # bytes of the dictionary that are counted together
+BLOCK_BYTES = 2 << 20       # bytes of the dictionary that are counted together
 
 _SEPARATORS = b".,;:!?\x0a\x0b\x0c\x0d"
 # a separator becomes a mark, and can be no part of a word; the comma is free for another mark
@@ -59,7 +59,7 @@ class _Hasher:
     def _grow(self, n: int) -> None:
         if n <= self.size:
             return
-        self.size = max(n, 2 * self.size)
+        self.size = n * 5 // 4
         ones = np.ones(self.size, np.uint64)
         self.powers = []
         for base in _BASES:
