@@ -76,6 +76,18 @@ def test_warc_round_trip_with_magic_in_payloads(spark, tmp_path):
     assert {r.page_id: r.refers_to for r in got if r.record_type == "revisit"} == {1: 2, None: 2}
 
 
+def test_warc_of_repeated_page_ids(spark, tmp_path):
+    a, b, c = "a" * 1500, "b" * 40, "c" * 2000
+    rows = [(3, "u", a), (5, "u", b), (5, "u", a), (5, "u", c), (4, "u", c), (5, "u", c), (None, "u", a), (None, "u", b)]
+    got = warc.archive_report(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "w")).collect()
+    digest = lambda t: (len(t), hashlib.sha1(t.encode()).hexdigest())
+    assert sorted((str(r.page_id), r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == sorted(
+        (str(i), *digest(t), "revisit" if len(t) > 1000 and i != 5 else "response", 5 if len(t) > 1000 and i != 5 else None)
+        for i, _, t in rows)
+    empty = warc.archive_report(spark.createDataFrame([], "page_id long, url string, html string"), str(tmp_path / "e"))
+    assert empty.count() == 0
+
+
 def test_decontamination_matches_brute_force(spark, docs):
     rng = random.Random(3)
     items = [(i, _text(rng, n)) for i, n in enumerate([12, 30, 10, 4, 1])] + [(9, None), (10, "...")]
@@ -262,36 +274,74 @@ def test_token_counts_match_brute_force(docs):
     assert sorted((str(r.doc_id), r.n_pretokens, r.n_tokens) for r in got) == want
 
 
-def test_lines_match_brute_force(docs):
-    rng = random.Random(13)
-    lines = [_text(rng, rng.randint(1, 12)) for _ in range(30)]
-
-    def edit(line):
-        w = line.split()
-        k = rng.randrange(len(w))
-        return " ".join(rng.choice([w[:k] + w[k + 1:], w[:k] + [rng.choice(VOCAB)] + w[k + 1:], w[:k] + ["new"] + w[k:]]))
-    rows = [(i, "\n".join(edit(rng.choice(lines)) if rng.random() < 0.5 else rng.choice(lines) for _ in range(6)) + "\n\n")
-            for i in range(40)]
-    rows += [(900, None), (901, ""), (902, " \n "), (None, lines[0])]
-    seen, want = [], {}
-    for doc, text in sorted(rows, key=lambda r: (r[0] is None, r[0])):
+def _check_lines(docs, rows):
+    """Operator 10 against comparing each line with all earlier ones."""
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, hashlib.md5((r[1] or "").encode()).digest()))
+    seen, want, texts = [], {}, []
+    for doc, text in order:
         gone = []
         for no, line in enumerate(text.split("\n") if text else []):
-            w = [x.encode() for x in line.split()]
+            w = [x.encode() for x in line.lower().split()]
             if w:
                 if any(v == w or (min(len(v), len(w)) >= 5 and line_dedup.within_one_edit(v, w)) for v in seen):
                     gone.append(no)
                 seen.append(w)
-        want[doc] = gone
-    got = {r.doc_id: r.removed_lines for r in line_dedup.duplicate_lines(docs(rows)).collect()}
-    assert got == want
-    texts = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs(rows)).collect()}
-    for doc, text in rows:
-        left = [x for no, x in enumerate((text or "").split("\n")) if no not in want[doc]]
+        left = [x for no, x in enumerate((text or "").split("\n")) if no not in gone]
         if any(x.split() for x in left) or not (text or "").split():
-            assert texts[doc] == (None if text is None else "\n".join(left))
-        else:
-            assert doc not in texts
+            texts.append((str(doc), None if text is None else "\n".join(left)))
+        want.setdefault((str(doc), hashlib.md5((text or "").encode()).hexdigest()), []).append((gone, len((text or "").split("\n")) if text else 0))
+    got = line_dedup.duplicate_lines(docs(rows)).collect()
+    assert sorted((str(r.doc_id), r.n_rows, r.n_lines, r.n_kept, r.removed_lines) for r in got) == sorted(
+        (k[0], len(v), v[0][1], v[0][1] - len(v[0][0]), v[0][0]) for k, v in want.items())
+    left = [(str(r.doc_id), r.text) for r in line_dedup.dedup_lines(docs(rows)).collect()]
+    assert sorted(left, key=str) == sorted(texts, key=str)
+
+
+def _edited_lines(rng, n, ids):
+    lines = [_text(rng, rng.randint(1, 12)) for _ in range(30)]
+
+    def edit(line):
+        w = line.split()
+        k = rng.randrange(len(w))
+        return " ".join(rng.choice([w[:k] + w[k + 1:], w[:k] + [rng.choice(VOCAB)] + w[k + 1:], w[:k] + ["new"] + w[k:]]))
+    return [(ids(i), "\n".join(edit(rng.choice(lines)) if rng.random() < 0.5 else rng.choice(lines) for _ in range(6)) + "\n\n")
+            for i in range(n)], lines
+
+
+def test_lines_match_brute_force(docs):
+    rows, lines = _edited_lines(random.Random(13), 40, lambda i: i)
+    _check_lines(docs, rows + [(900, None), (901, ""), (902, " \n "), (None, lines[0]), (-5, lines[1]), (2 ** 63 - 1, lines[2])])
+
+
+def test_lines_of_null_and_repeated_ids(docs):
+    rng = random.Random(14)
+    rows, lines = _edited_lines(rng, 40, lambda i: rng.choice([None, None, 1, 2, 3]))
+    _check_lines(docs, rows + rows[:6] + [(None, ""), (None, ""), (1, None), (1, " "), (1, " ")])
+    _check_lines(docs, [(1, "same line"), (1, "same line"), (None, "other line"), (None, "other line")])
+    _check_lines(docs, [(1, "a b c d e f"), (1, "p q r s t u"), (2, "p q r s t v")])
+    assert line_dedup.duplicate_lines(docs([])).count() == line_dedup.dedup_lines(docs([])).count() == 0
+
+
+def test_very_long_lines(monkeypatch, docs):
+    """A line of 200,000 words takes as many steps; one edit of it is found across tasks' batches."""
+    words = [f"w{i * i % 7919}" for i in range(200_000)]
+    other = words[:150_000] + ["new"] + words[150_000:]
+    got = {r.doc_id: r.removed_lines for r in line_dedup.duplicate_lines(docs(
+        [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(words[1:])), (4, " ".join(words[2:]))])).collect()}
+    assert got == {1: [], 2: [0], 3: [0], 4: [0]}
+
+
+def test_variant_keys_tell_words_and_places_apart():
+    rng = random.Random(5)
+    for _ in range(300):
+        w = [rng.choice(b"abc").to_bytes() for _ in range(rng.randint(1, 9))]
+        keys = line_dedup.variant_keys(w)
+        assert [line_dedup.variant_keys(w[:i] + w[i + 1:])[0] for i in range(len(w)) if len(w) > 1] == keys[1:] * (len(w) > 1)
+    keys = {}
+    for n in range(1, 7):
+        for at in range(3 ** n):
+            w = [b"abc"[at // 3 ** i % 3].to_bytes() for i in range(n)]
+            assert keys.setdefault(line_dedup.variant_keys(w)[0], w) == w
 
 
 def test_one_edit():

@@ -56,7 +56,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.duplicate_lines(_table(spark, sf_dir, "documents"))
+    out = line_dedup.duplicate_lines(_table(spark, sf_dir, "documents")).drop("n_rows")
     return out.withColumn("removed_lines", F.concat_ws(",", F.col("removed_lines").cast("array<string>")))
 
 

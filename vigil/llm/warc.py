@@ -283,16 +283,22 @@ def archive_report(pages: DataFrame, path: str) -> DataFrame:
     """Write ``pages`` under ``path``, read the archives back and report each page.
 
     Returns page_id, payload_bytes, payload_digest (hex SHA-1; both of the full payload),
-    record_type, refers_to. A revisit takes length and digest from the response it refers to.
+    record_type, refers_to. A revisit takes length and digest from the response it refers to,
+    which is the one of that page_id and of the digest in its own header: page_ids may repeat
+    or be null. Rows of the largest page_id of a payload are all responses.
     """
     spark = pages.sparkSession
     write_warc(pages, path)
-    records = materialize(read_warc(spark, path).select("page_id", "rec_type", "refers_to", "payload_bytes", "sha1"), "warc-read")
+    records = materialize(read_warc(spark, path).select("page_id", "rec_type", "refers_to", "declared", "payload_bytes", "sha1"), "warc-read")
     full = records.filter("rec_type = 'response'").select(
         "page_id", F.col("payload_bytes"), F.col("sha1").alias("payload_digest"),
         F.col("rec_type").alias("record_type"), F.col("refers_to"))
-    original = full.select(F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest").dropDuplicates(["refers_to"])
-    back = (records.filter("rec_type = 'revisit'").select("page_id", F.col("rec_type").alias("record_type"), "refers_to")
-            .join(original, "refers_to", "left"))
+    original = (full.select(F.col("page_id").alias("original"), "payload_bytes", "payload_digest")
+                .dropDuplicates(["original", "payload_digest"]))
+    back = (records.filter("rec_type = 'revisit'")
+            .select("page_id", F.col("rec_type").alias("record_type"), "refers_to",
+                    F.regexp_replace("declared", "^sha1:", "").alias("digest"))
+            .join(original, F.col("refers_to").eqNullSafe(F.col("original"))
+                  & (F.col("digest") == F.col("payload_digest")), "left"))
     cols = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return full.select(cols).unionByName(back.select(cols))
