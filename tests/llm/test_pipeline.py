@@ -4,9 +4,10 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vigil.llm import near_dedup, queries
+from vigil.llm import near_dedup, queries, stages
 
 SF = "/root/testdata/sf0.001"
 
@@ -54,6 +55,29 @@ def test_rows_of_null_or_repeated_ids_are_judged_one_by_one(spark, docs):
     assert len([k for k in kept if k[1].startswith("x0")]) == 1
 
 
+def test_stages_on_an_empty_table_and_on_nulls(spark, docs):
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs([]), SF).count() == 0, name
+    rows = [(None, "null one here"), (None, "null two here"), (None, None), (1, None), (1, ""), (1, "")]
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        out = [(r.doc_id, r.text) for r in stage(spark, docs(rows), SF).collect()]
+        assert {r for r in out if r[1]} == {r for r in rows if r[1]}, name
+    taken = corpus_pipeline.mix(spark, docs(rows), SF).collect()
+    assert sum(r.taken for r in taken) == 9 and {r.size for r in taken} <= {0, 3}
+
+
+@pytest.mark.parametrize("short", [F.length, lambda text: F.lit(7), lambda text: F.xxhash64("text") % 3])
+def test_no_two_texts_share_a_key(spark, docs, short):
+    rng = random.Random(31)
+    rows = [(rng.choice([None, 1, 2, i]), rng.choice([None, "", *(f"text {k}" for k in range(60))])) for i in range(300)]
+    got = stages.text_keys(docs(rows), short).collect()
+    assert sorted(map(str, rows)) == sorted(str((r.doc_id, r.text)) for r in got)
+    keys = {}
+    for r in got:
+        assert keys.setdefault(r.text, r._cp_key) == r._cp_key
+    assert len(set(keys.values())) == len(keys)
+
+
 def test_near_dedup_stage_matches_brute_force_at_five_words(spark, docs):
     rng, rows = random.Random(29), []
     for i in range(0, 90, 3):
