@@ -8,103 +8,10 @@ of ``documents``; every stage works on all rows that its predecessor kept.
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from vigil.llm import decontaminate, langid, line_dedup, mixing, near_dedup
-from vigil.llm.base import delete_tables, materialize, scoped_tables, set_batch_rows
-
-
-# near duplicates of the corpus share four fifths of their 5-word shingles (op1 has bounds of its own)
-WIDTH, ALIKE = 5, 80
-
-
-_left: list[str] = []    # tables of the stage that ran last
-
-
-def _stage(fn):
-    """A stage's tables live until the next stage begins, when its output has been written."""
-    @functools.wraps(fn)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        delete_tables(spark, _left)
-        with scoped_tables() as made:
-            out = fn(spark, docs, sf_dir)
-        _left.extend(made)
-        return out
-    return run_stage
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) with a hash of the text as doc_id: what is decided on the text alone is
-    joined by it, whether ids are null or repeat."""
-    return docs.select(F.xxhash64("text").alias("doc_id"), "text")
-
-
-def _only(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose text is in ``decisions`` on :func:`_keyed` rows."""
-    keys = decisions.select(F.col("doc_id").alias("_cp_key")).distinct()
-    return docs.join(keys, F.xxhash64("text") == F.col("_cp_key"), "left_semi")
-
-
-@_stage
-def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; those far from every centroid go.
-
-    Each row is judged by its own text, also when its doc_id is null or repeats.
-    """
-    set_batch_rows(spark)
-    return _only(docs, langid.identify(_keyed(docs), langid.fit(docs)).filter(~F.col("rejected")))
-
-
-@_stage
-def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that repeat earlier ones; those left without a line go."""
-    set_batch_rows(spark)
-    return line_dedup.dedup_lines(docs)
-
-
-@_stage
-def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one of smallest doc_id (null last).
-
-    Each row is judged by its own text, also when its doc_id is null or repeats. Texts without
-    a word copy nothing; of such rows only repeats of one doc_id and text go.
-    """
-    set_batch_rows(spark)
-    groups = materialize(near_dedup.near_duplicates(_keyed(docs), width=WIDTH, num=ALIKE)
-                         .select(F.col("doc_id").alias("_cp_key"), "n_shingles", "component_id").distinct(), "near-groups")
-    words = groups.filter("n_shingles > 0")
-    first = (docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("_cp_key"))
-             .join(words, "_cp_key").groupBy("component_id")
-             .agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "_cp_key")).alias("f"))
-             .select(F.col("f.id").alias("_cp_id"), F.col("f._cp_key").alias("_cp_text")))
-    keyed = docs.withColumn("_cp_key", F.xxhash64("text"))
-    chosen = (keyed.join(first, (F.col("_cp_key") == F.col("_cp_text"))
-                         & F.col("doc_id").cast("long").eqNullSafe(F.col("_cp_id")), "left_semi")
-              .dropDuplicates(["doc_id", "_cp_key"]))
-    blank = keyed.join(groups.filter("n_shingles = 0"), "_cp_key", "left_semi")
-    named = blank.filter("doc_id is not null").dropDuplicates(["doc_id", "_cp_key"])
-    return chosen.unionByName(named).unionByName(blank.filter("doc_id is null")).drop("_cp_key")
-
-
-@_stage
-def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of ``benchmark``; each row is judged by its own text."""
-    set_batch_rows(spark)
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _only(docs, decontaminate.decontaminate(_keyed(docs), benchmark).filter(~F.col("contaminated")))
-
-
-@_stage
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes of each document: doc_id, source, size, copies, taken.
-
-    Documents of which the mix takes nothing are left out.
-    """
-    return mixing.mix_sources(docs).filter("copies > 0").select("doc_id", "source", "size", "copies", "taken")
 
+from vigil.llm.base import materialize
+from vigil.llm.stages import drop_contaminated, drop_repeated_lines, keep_identified, keep_one_of_each, mix
 
 STAGES = [
     ("language_id", keep_identified),
