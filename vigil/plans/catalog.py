@@ -662,6 +662,29 @@ def q_daily_risk(spark, sf_dir):
     return SV.daily_risk(report_frame(spark, sf_dir))
 
 
+ONE_PATIENT, ONE_DATE = "P0001", "2026-10-04"
+
+
+@register("one_patient_risk", ORACLES["patient_risk"] + f" WHERE coalesce(l.patient_id, d.patient_id) = '{ONE_PATIENT}'")
+def q_one_patient_risk(spark, sf_dir):
+    """W2 for one key: the filter stands below both aggregates."""
+    return SV.flatten(SV.patient_risk(stored_trends(spark, sf_dir), report_frame(spark, sf_dir), ONE_PATIENT))
+
+
+@register("one_patient_trends", ORACLES["patient_trends"] + f" WHERE patient_id = '{ONE_PATIENT}'")
+def q_one_patient_trends(spark, sf_dir):
+    """W3 for one key."""
+    t = SV.patient_trends(stored_trends(spark, sf_dir), ONE_PATIENT)
+    return t.select(*[F.col(c).cast("double").alias(c) if c.startswith("avg_") else F.col(c)
+                      for c in SV.TREND_FIELDS])
+
+
+@register("one_date_risk", ORACLES["daily_risk"] + f" WHERE sim_date = DATE '{ONE_DATE}'")
+def q_one_date_risk(spark, sf_dir):
+    """W4 for one date."""
+    return SV.daily_risk(report_frame(spark, sf_dir), ONE_DATE)
+
+
 @register("risk_overview", _report_sql() + """
 SELECT sim_date, coalesce(patient_id, '-') AS patient, upper(coalesce(operational_risk_flag, 'unknown')) AS risk,
   coalesce(trend_summary, '-') AS trend, coalesce(lab_summary, '-') AS labs,

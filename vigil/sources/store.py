@@ -30,6 +30,9 @@ MOST_BUCKETS = 1 << 16
 ATTEMPTS = 50           # of an upsert that other writers overtake
 
 
+POINT_COLUMNS = ("patient_id",)     # single keys that readers ask for: sorted in files, with Bloom filters
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -123,7 +126,11 @@ class TableStore:
     def _write(self, df: DataFrame, path: str, part_cols: Sequence[str] = ()) -> int:
         """Write Parquet and count the rows while they are written (no read afterwards)."""
         seen = Observation()
-        writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+        point = [c for c in POINT_COLUMNS if c in df.columns]
+        rows = df.observe(seen, F.count(F.lit(1)).alias("n"))
+        # rows of one key stand together, so that a read of it skips all other pages and row groups
+        rows = rows.sortWithinPartitions(*part_cols, *point) if point else rows
+        writer = rows.write.mode("overwrite").options(**{f"parquet.bloom.filter.enabled#{c}": "true" for c in point})
         (writer.partitionBy(*part_cols) if part_cols else writer).parquet(path)
         return seen.get["n"]
 
