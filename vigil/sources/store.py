@@ -330,7 +330,15 @@ class TableStore:
     def _claim(self, p: str, version: int, staging: str) -> bool:
         """Take a snapshot number for a written snapshot; False if it is taken. This is the commit:
         the file names the snapshot, so that anybody can move it into place."""
-        at = self._Path(f"{p}/_commits/v={version:08d}")
+        name = f"{p}/_commits/v={version:08d}"
+        at = self._Path(name)
+        if self._fs.getUri().getScheme() == "file":
+            # a local file system looks first and creates then; only this is one step there
+            self._fs.mkdirs(at.getParent())
+            try:
+                open(f"{at.getParent().toUri().getPath()}/.taken-{version:08d}", "x").close()
+            except FileExistsError:
+                return False
         try:
             out = self._fs.create(at, False)
         except Py4JJavaError as exc:
@@ -339,15 +347,21 @@ class TableStore:
             raise
         out.writeBytes(staging)
         out.close()
-        return True
+        return self._exists(name)
 
     def _settle(self, p: str) -> None:
-        """Move the last claimed snapshot into place, if its writer has not done so."""
+        """Move the last claimed snapshot into place, if its writer has not done so.
+
+        A claim that names a snapshot is never deleted, so its number is not given out again.
+        """
         claims = self._Path(f"{p}/_commits")
         if not self._fs.exists(claims):
             return
-        name = max((s.getPath().getName() for s in self._fs.listStatus(claims)), default=None)
+        name, size = None, 0
         for _ in range(100):
+            # read anew each time: other writers may have gone on, and cleared an older snapshot away
+            name = max((n for n in (s.getPath().getName() for s in self._fs.listStatus(claims))
+                        if n.startswith("v=")), default=None)
             if name is None or self._exists(f"{p}/{name}/_SUCCESS"):
                 return
             at = self._Path(f"{p}/_commits/{name}")
@@ -362,8 +376,10 @@ class TableStore:
                     pass
             else:
                 time.sleep(0.1)         # its writer is about to name the snapshot
-        if not self._exists(f"{p}/{name}/_SUCCESS"):
-            self._delete(f"{p}/_commits/{name}")    # claimed by a writer that ended before it named a snapshot
+        if not size and not self._exists(f"{p}/{name}/_SUCCESS"):
+            # claimed by a writer that ended before it named a snapshot
+            self._delete(f"{p}/_commits/{name}")
+            self._delete(f"{p}/_commits/.taken-{name[2:]}")
 
 
 def new_rows(batch: DataFrame, stored_keys: DataFrame, keys: Sequence[str],
