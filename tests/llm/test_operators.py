@@ -1,6 +1,7 @@
 """Each operator against brute force on small tables, with nulls, empty texts, ties and repeats."""
 
 import hashlib
+import math
 import random
 
 import pytest
@@ -258,6 +259,30 @@ def test_mixing_meets_targets(docs):
     assert all(abs(t[0] - t[1]) <= 60 and t[1] <= 2 * t[2] for t in per.values())
 
 
+def test_mixing_takes_documents_by_their_inclusion_odds(spark, docs):
+    rng = random.Random(12)
+    lengths = {1: 1, 3: 2, 12: 4, 50: 6, 200: 8}    # words: bits
+    rows = [(i, " ".join([f"w{i}"] * rng.choice(list(lengths))), rng.choice("aaaabc")) for i in range(9000)]
+    rows += [(None, f"without id {i}", "a") for i in range(3000)]
+    table = docs(rows)
+    sized = table.select("source", mixing.n_words(F.col("text")).alias("size")).withColumn("bits", F.length(F.bin("size")))
+    targets = mixing.source_targets(sized)
+    expected = {(r.source, r.bits): r for r in mixing.expected_copies(sized, targets).collect()}
+    for source, target in {(r.source, r.target) for r in expected.values()}:
+        assert sum(r.copies * r.words for r in expected.values() if r.source == source) == pytest.approx(target)
+    got = {}
+    for r in mixing.mix_sources(table).collect():
+        got.setdefault((r.source, r.size.bit_length()), []).append(r.copies)
+        assert r.copies in (math.floor(expected[r.source, r.size.bit_length()].copies), math.ceil(expected[r.source, r.size.bit_length()].copies))
+    assert got.keys() == expected.keys()
+    unequal = 0
+    for key, copies in got.items():
+        want, p = expected[key].copies, expected[key].copies % 1
+        assert abs(sum(copies) - want * len(copies)) <= 4 * math.sqrt(len(copies) * p * (1 - p)) + 1, key
+        unequal += 0 < p < 1
+    assert unequal >= 8     # the sample's probabilities differ between the classes of a source
+
+
 def test_token_counts_match_brute_force(docs):
     pieces = {"▁": -3.0, "▁th": -2.0, "the": -2.5, "▁the": -1.0, "e": -2.0, "re": -2.2, "a": -4.0, "t": -4.5, "h": -4.6, "ré": -2.0}
     unknown = token_counts.unknown_score(pieces)

@@ -5,18 +5,22 @@ all words; a target stops at twice its source's words and the excess is reshared
 That is ``least(cap, level * weight)`` for one level, found from running sums over the sources
 ordered by ``cap / weight``.
 
-Taking: a source whose target is r times its words gives ``floor(r)`` certain copies of every
-document. The rest of the target is a Pareto sample: documents are ranked by random odds
-``u / (1 - u)`` divided by inclusion odds ``p / (1 - p)``, p = r - floor(r), and taken in that
-order up to the size that comes nearest to the target. ``u`` is a hash of doc_id, so reruns
-agree.
-
-The order is cut without sorting a source in one task: ranks fall in fixed bins, bins are
-summed, and only the bin in which the target is reached is ordered row by row.
+Taking: documents of a source have unequal expected copies. They are proportional to the bits of
+the document's size (1 for 1 word, 10 for 512 to 1,023), so that longer documents are preferred
+mildly; none expects more than ``most`` copies, and a source's expected words are its target. The
+whole part of the expectation gives certain copies. Its remainder p is the inclusion probability
+of a Pareto sample: documents are ranked by random odds ``u / (1 - u)`` divided by inclusion odds
+``p / (1 - p)`` and taken in that order up to the size that comes nearest to the rest of the
+target. ``u`` is a hash of doc_id and text, so reruns agree.
+
+The order is cut without sorting a source in one task: ranks fall in bins, whose number follows
+the input, bins are summed, and only the bin in which the target is reached is ordered row by row.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +29,7 @@ from vigil.llm.base import materialize
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
-BINS = 4096
+LEAST_BINS = 4096
 
 
 def n_words(text: Column) -> Column:
@@ -61,6 +65,26 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SH
                     F.coalesce(F.least("cap", F.col("final") * F.col("w")), F.col("cap")).alias("target")))
 
 
+def expected_copies(sizes: DataFrame, targets: DataFrame, most: float = MOST) -> DataFrame:
+    """(source, bits, source_size, target, copies) for tables of (source, size, bits) and of targets.
+
+    ``copies``, the expected copies of a document, is ``least(most, level * bits)`` with one level
+    per source, for which its words come to the target. One row per source and bit length: the
+    windows below run over at most 63 rows of a source.
+    """
+    per = (sizes.filter("size > 0").groupBy("source", "bits").agg(F.sum("size").alias("words"))
+           .join(targets.withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2"))).drop("s2"))
+    longest = Window.partitionBy("source").orderBy(F.col("bits").desc())
+    # with all longer documents at the most copies, the others share what is left by bits
+    spent = F.coalesce(F.sum("words").over(longest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) * F.lit(float(most))
+    share = F.sum(F.col("words") * F.col("bits")).over(longest.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    return (per.withColumn("level", (F.col("target") - spent) / share)
+            .withColumn("level", F.max(F.when(F.col("level") * F.col("bits") < most, F.col("level")))
+                        .over(Window.partitionBy("source")))
+            .select("source", "bits", "words", "source_size", "target",
+                    F.coalesce(F.least(F.lit(float(most)), F.col("level") * F.col("bits")), F.lit(float(most))).alias("copies")))
+
+
 def unit_hash(key: Column) -> Column:
     """A number in (0, 1) from the first 52 bits of the key's MD5."""
     return (F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(2 ** 52))
@@ -73,36 +97,43 @@ def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE,
     Returns one row per input row: doc_id, source, size, source_size, target, copies, taken
     (= copies * size). Copies are whole, at most ``ceil(most)`` (2).
 
-    Edge cases: null text has size 0; null is a source of its own, last in order; null doc_id
-    hashes as an empty key; rows that tie in rank are ordered by doc_id and size; a source
-    without words has target 0 and takes nothing; an empty table gives an empty result.
+    Edge cases: null text has size 0; documents of size 0 are not taken; null is a source of its
+    own, last in order; null doc_id hashes as an empty key, together with the text, so documents
+    without or with equal ids have numbers of their own; rows that tie in rank are ordered by
+    doc_id and size, and of wholly equal rows any may be the one taken once more; a source without
+    words has target 0 and takes nothing; an empty table gives an empty result.
     """
+    text = F.col("text")
+    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit(""))))
     sized = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source",
-                                    n_words(F.col("text")).alias("size")), "mix-sizes")
-    # one row per source, written first: of known size, it is broadcast when small and else
-    # joined by shuffle, where AQE splits a hot source
+                                    n_words(text).alias("size"), unit_hash(key).alias("u"))
+                        .withColumn("bits", F.when(F.col("size") > 0, F.length(F.bin("size"))).otherwise(0)), "mix-sizes")
+    # rows per source and size class, written first: of known size, they are broadcast when small
+    # and else joined by shuffle, where AQE splits a hot source
     targets = materialize(source_targets(sized, weights, share, most), "mix-targets")
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    u = unit_hash(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    ranked = (sized.join(targets.withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2")))
-              .drop("s2")
-              .withColumn("whole", F.floor(ratio + 1e-12))
-              .withColumn("p", F.greatest(ratio - F.col("whole"), F.lit(0.0)))
-              .withColumn("u", u)
-              .withColumn("rank", F.when(F.col("p") > 0, F.col("u") / (1 - F.col("u")) * (1 - F.col("p")) / F.col("p")))
-              .withColumn("bin", F.when(F.col("p") > 0, F.floor(F.col("u") * BINS).cast("int"))))
-    rest = F.col("target") - F.col("whole") * F.col("source_size")
-    bins = (ranked.filter("bin is not null").groupBy("source", "bin")
-            .agg(F.sum("size").alias("in_bin"), F.max("target").alias("target"),
-                 F.max("whole").alias("whole"), F.max("source_size").alias("source_size"))
-            .withColumn("rest", rest)
+    classes = materialize(expected_copies(sized, targets, most), "mix-classes")
+    whole = F.floor(F.col("copies") + 1e-12)
+    bins_of = max(LEAST_BINS, math.isqrt(sized.count()))
+    odds = F.col("u") / (1 - F.col("u")) * (1 - F.col("p")) / F.col("p")
+    per_class = (classes.withColumn("whole", whole).withColumn("p", F.greatest(F.col("copies") - F.col("whole"), F.lit(0.0)))
+                 .select(F.col("source").alias("s2"), F.col("bits").alias("b2"), "whole", "p"))
+    ranked = (sized.join(per_class, F.col("source").eqNullSafe(F.col("s2")) & (F.col("bits") == F.col("b2")), "left")
+              .drop("s2", "b2").fillna(0, ["whole", "p"])
+              # odds in (0, infinity) as a rank in (0, 1)
+              .withColumn("rank", F.when(F.col("p") > 0, odds / (1 + odds)))
+              .withColumn("bin", F.when(F.col("p") > 0, F.least(F.floor(F.col("rank") * bins_of), F.lit(bins_of - 1)).cast("int"))))
+    rests = (classes.groupBy("source").agg((F.max("target") - F.sum(whole * F.col("words"))).alias("rest"))
+             .withColumnRenamed("source", "s2"))
+    bins = (ranked.filter("bin is not null").groupBy("source", "bin").agg(F.sum("size").alias("in_bin"))
+            .join(rests, F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
             .withColumn("before", F.sum("in_bin").over(
                 Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)))
             .fillna(0, ["before"]))
     cut = materialize(bins.filter((F.col("before") < F.col("rest")) & (F.col("before") + F.col("in_bin") >= F.col("rest")))
-           .groupBy("source").agg(F.min("bin").alias("cut_bin"), F.min("before").alias("before"), F.min("rest").alias("rest")),
-           "mix-cuts")
-    placed = (ranked.join(cut.withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2")), "left").drop("s2"))
+                      .groupBy("source").agg(F.min("bin").alias("cut_bin"), F.min("before").alias("before"),
+                                             F.min("rest").alias("rest")), "mix-cuts")
+    by_source = cut.join(targets.withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2")), "right").drop("source")
+    placed = ranked.join(by_source, F.col("source").eqNullSafe(F.col("s2")), "left").drop("s2")
     # only the rows of one bin of each source are ordered; all others are one partition key each
     at_cut = F.col("bin") == F.col("cut_bin")
     inside = placed.filter(at_cut)
@@ -110,7 +141,8 @@ def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE,
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.col("before") + F.sum("size").over(run)
     # the document that crosses the target is taken if that comes nearer than stopping before it
-    near = (end - F.col("rest")) <= (F.col("rest") - (end - F.col("size")))
+    start = end - F.col("size")
+    near = (start < F.col("rest")) & ((end - F.col("rest")) <= (F.col("rest") - start))
     inside = inside.withColumn("extra", F.when((end <= F.col("rest")) | near, 1).otherwise(0))
     outside = (placed.filter(~F.coalesce(at_cut, F.lit(False)))
                .withColumn("extra", F.when(F.col("bin").isNull(), 0)

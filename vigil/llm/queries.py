@@ -140,7 +140,7 @@ FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 OP8_SQL = f"""
-WITH RECURSIVE d AS (SELECT doc_id, source, coalesce(len({_SPACE_WORDS}), 0) AS size FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, source, text, coalesce(len({_SPACE_WORDS}), 0) AS size FROM documents),
 s AS (SELECT source, sum(size)::DOUBLE AS n, [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
       FROM d GROUP BY 1),
 tot AS (SELECT 1.5 * sum(n) AS t, sum(w) AS w FROM s),
@@ -155,12 +155,24 @@ fill(round, capped, level) AS (
            sum(s.w) FILTER (WHERE NOT level * s.w > 2 * s.n) AS free
     FROM fill f, s, tot GROUP BY f.round, tot.t) WHERE len(coalesce(c, [])) > len(old) AND free > 0),
 lvl AS (SELECT max_by(level, round) AS level FROM fill),
-t AS (SELECT source, n, least(2 * n, level * w) AS target, CASE WHEN n > 0 THEN least(2 * n, level * w) / n ELSE 0 END AS r FROM s, lvl),
-x AS (SELECT d.doc_id, d.source, d.size, t.n, t.target, floor(r + 1e-12) AS whole,
-             greatest(r - floor(r + 1e-12), 0) AS p, t.target - floor(r + 1e-12) * t.n AS rest,
-             (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5) / 4503599627370496.0 AS u
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-y AS (SELECT *, sum(size) OVER (PARTITION BY source, p > 0 ORDER BY u, doc_id NULLS LAST, size ROWS UNBOUNDED PRECEDING) AS upto FROM x)
+t AS (SELECT source, n, least(2 * n, level * w) AS target FROM s, lvl),
+z AS (SELECT *, CASE WHEN size > 0 THEN length(bin(size)) ELSE 0 END AS bits,
+             (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 13))::BIGINT + 0.5) / 4503599627370496.0 AS u
+      FROM d),
+-- size classes of a source: with all longer classes at two copies, the others share the rest by their bits
+g AS (SELECT source, bits, sum(size)::DOUBLE AS n FROM z WHERE size > 0 GROUP BY 1, 2),
+lv AS (SELECT a.source, a.bits, (any_value(t.target) - 2 * coalesce(sum(b.n) FILTER (WHERE b.bits > a.bits), 0))
+              / sum(b.n * b.bits) FILTER (WHERE b.bits <= a.bits) AS level
+       FROM g a JOIN g b ON a.source IS NOT DISTINCT FROM b.source JOIN t ON a.source IS NOT DISTINCT FROM t.source GROUP BY 1, 2),
+lm AS (SELECT source, max(level) FILTER (WHERE level * bits < 2) AS level FROM lv GROUP BY 1),
+e AS (SELECT g.*, floor(c + 1e-12) AS whole, greatest(c - floor(c + 1e-12), 0) AS p
+      FROM (SELECT g.*, coalesce(least(2.0, level * bits), 2.0) AS c FROM g JOIN lm ON g.source IS NOT DISTINCT FROM lm.source) g),
+r AS (SELECT e.source, any_value(target) - sum(whole * e.n) AS rest FROM e JOIN t ON e.source IS NOT DISTINCT FROM t.source GROUP BY 1),
+x AS (SELECT z.doc_id, z.source, z.size, t.n, t.target, r.rest, coalesce(e.whole, 0) AS whole, coalesce(e.p, 0) AS p,
+             CASE WHEN e.p > 0 THEN u / (1 - u) * (1 - e.p) / e.p END AS odds
+      FROM z JOIN t ON z.source IS NOT DISTINCT FROM t.source LEFT JOIN e ON z.source IS NOT DISTINCT FROM e.source AND z.bits = e.bits
+      LEFT JOIN r ON z.source IS NOT DISTINCT FROM r.source),
+y AS (SELECT *, sum(size) OVER (PARTITION BY source, p > 0 ORDER BY odds / (1 + odds), doc_id NULLS LAST, size ROWS UNBOUNDED PRECEDING) AS upto FROM x)
 SELECT doc_id, size, n::BIGINT AS source_size, round(target, 4) AS target,
        (size * (whole + CASE WHEN p > 0 AND (upto <= rest OR (upto - size < rest AND upto - rest <= rest - (upto - size)))
                              THEN 1 ELSE 0 END))::BIGINT AS taken
