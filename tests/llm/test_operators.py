@@ -149,6 +149,23 @@ def test_langid_on_held_out_documents(spark):
     assert out.filter("rejected").count() == 0
 
 
+def test_langid_rejects_noise_of_any_length_and_keeps_clean_texts(spark):
+    known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(known)
+    rng = random.Random(41)
+    scripts = {"latin": (97, 26), "cyrillic": (0x430, 32), "greek": (0x3B1, 24), "han": (0x4E00, 8000)}
+    rows = [(script, " ".join("".join(chr(first + rng.randrange(n)) for _ in range(rng.randint(2, 9))) for _ in range(words)))
+            for script, (first, n) in scripts.items() for words in (30, 100, 300, 1000, 5000) for _ in range(10)]
+    noise = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, source string, text string")
+    assert langid.identify(noise, model).filter("rejected").count() >= 0.95 * len(rows)
+    rejected = F.col("rejected").cast("int")
+    # whole documents, and short texts of five of their words
+    five = F.array_join(F.slice(F.split("text", " "), 1, 5), " ")
+    for text in (F.col("text"), five):
+        clean = known.filter("lang is not null and text rlike '[a-zA-Z]{3}'").select("doc_id", text.alias("text"))
+        assert langid.identify(clean, model).agg(F.avg(rejected)).first()[0] <= 0.01
+
+
 def test_langid_edges(docs):
     rows = [(i, "the of and to " * 5, "s", "en") for i in range(9)] + [(20, None), (21, "123 ???"), (22, "")]
     got = {r.doc_id: r for r in langid.identify(docs(rows)).collect()}

@@ -3,8 +3,11 @@
 Features are hashed character 2- and 3-grams of the lower-cased letters (every other run is
 one blank), weighted log(1 + tf) * idf and L2-normalised. Document frequencies are counted
 over all training documents. Centroids come from spherical k-means on a bounded sample of
-each language (:data:`SAMPLE` documents). A text is *rejected* when its best cosine is below
-:data:`LEAST`: it lies far from all centroids.
+each language (:data:`SAMPLE` documents). A text is *rejected* when it lies far from all centroids:
+when its best cosine is below a bound. Cosines rise with the length of a text, of noise as well, so
+each language has a bound for every length class (grams by powers of two), learned from the same
+sample: :data:`MARGIN` of the cosine that all but :data:`TAIL` of the runs of its documents of that
+length reach. The margin leaves odd texts in, such as one word over and over.
 
 Learning uses text and non-null lang of documents with crc32(doc_id as text) mod 3 <> 1.
 """
@@ -22,7 +25,12 @@ from vigil.llm.base import map_rows, materialize
 DIMS = 4096
 CENTROIDS = 4       # per language
 SAMPLE = 300        # labelled documents per language that the centroids are fitted on
-LEAST = 0.15        # least cosine that is not rejected
+LEAST = 0.15        # least cosine that is not rejected where no bound could be learned
+MARGIN = 0.36       # of a low quantile of the cosines of a language's own runs of a length
+TAIL = 0.05         # that quantile
+RUNS = 2            # runs of a length that a document gives, at its beginning and middle
+FEW_RUNS = 20       # with fewer, the bound of the shorter class holds
+_CLASSES = 18       # up to runs of 65,536 characters
 ROUNDS = 8
 _CHUNK = 1 << 18    # characters hashed at a time
 
@@ -97,7 +105,7 @@ def _cluster(idf: np.ndarray, k: int):
         rows = [gram_counts(t, _letters()) for t in pdf["text"]]
         x = np.array([vector(c, idf) for c in rows if c is not None], np.float32)
         if not len(x):
-            return pd.DataFrame({"lang": [], "centroid": []})
+            return pd.DataFrame({"lang": [], "centroid": [], "bounds": []})
         centre = [_unit(x.mean(0))]
         while len(centre) < min(k, len(x)):
             centre.append(x[int(np.argmin((x @ np.array(centre).T).max(1)))])
@@ -105,17 +113,41 @@ def _cluster(idf: np.ndarray, k: int):
         for _ in range(ROUNDS):
             near = (x @ c.T).argmax(1)
             c = np.array([_unit(x[near == i].mean(0)) if (near == i).any() else c[i] for i in range(len(c))])
-        return pd.DataFrame({"lang": key[0], "centroid": [r.tolist() for r in c]})
+        bounds = _bounds(list(pdf["text"]), c, idf)
+        return pd.DataFrame({"lang": key[0], "centroid": [r.tolist() for r in c], "bounds": [bounds] * len(c)})
     return run
 
 
+def length_class(grams: int) -> int:
+    return min(int(grams).bit_length(), _CLASSES)
+
+
+def _bounds(texts: list[str], centroids: np.ndarray, idf: np.ndarray) -> list[float]:
+    """Least cosine that is not rejected, for each length class.
+
+    A text of class c has 2^(c-1) grams or more, two a character: the bound comes from runs of
+    2^(c-2) characters inside the documents, the shortest of the class.
+    """
+    bounds = [0.0] * (_CLASSES + 1)
+    for c in range(4, _CLASSES + 1):
+        size = 1 << (c - 2)
+        runs = [t[at: at + size] for t in texts for at in (0, len(t) // 2)[:RUNS] if at + size <= len(t)]
+        bounds[c] = bounds[c - 1]
+        if len(runs) >= FEW_RUNS:
+            counts = [gram_counts(t, _letters()) for t in runs]
+            near = [float((centroids @ vector(n, idf)).max()) for n in counts if n is not None]
+            if len(near) >= FEW_RUNS:
+                bounds[c] = max(bounds[c], round(MARGIN * float(np.quantile(near, TAIL)), 6))
+    return bounds
+
+
 def _unit(v: np.ndarray) -> np.ndarray:
     norm = np.sqrt(v @ v)
     return v / norm if norm else v
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> dict:
-    """{"langs", "centroids" (rows), "idf"} learned from the training documents.
+    """{"langs", "centroids", "bounds" (rows), "idf"} learned from the training documents.
 
     The model's size is (languages x k x DIMS) floats whatever the corpus.
     """
@@ -130,10 +162,11 @@ def fit(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> dict:
            .withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= sample)
            .select("doc_id", "lang", "order"))
     picked = materialize(train.join(ids, ["doc_id", "lang"]).select("lang", "text", "order"), "langid-sample")
-    rows = (picked.groupBy("lang").applyInPandas(_cluster(idf, k), "lang string, centroid array<float>")
+    rows = (picked.groupBy("lang").applyInPandas(_cluster(idf, k), "lang string, centroid array<float>, bounds array<double>")
             .orderBy("lang", "centroid").collect())
     return {"langs": [r[0] for r in rows], "idf": idf,
-            "centroids": np.array([r[1] for r in rows], np.float32).reshape(len(rows), DIMS)}
+            "centroids": np.array([r[1] for r in rows], np.float32).reshape(len(rows), DIMS),
+            "bounds": [r[2] for r in rows]}
 
 
 def _classify(shared, least: float):
@@ -143,14 +176,15 @@ def _classify(shared, least: float):
         for b in batches:
             out = {k: v for k, v in b.items() if k != "text"} | {"lang_pred": [], "score": [], "rejected": []}
             for counts in _texts(b):
-                lang, score = "und", 0.0
+                lang, score, bound = "und", 0.0, least
                 if counts is not None and langs:
                     cos = centroids @ vector(counts, idf)
                     best = int(cos.argmax())
                     lang, score = langs[best], float(min(1.0, max(0.0, cos[best])))
+                    bound = model["bounds"][best][length_class(counts.sum())] or least
                 out["lang_pred"].append(lang)
                 out["score"].append(score)
-                out["rejected"].append(lang == "und" or score < least)
+                out["rejected"].append(lang == "und" or score < bound)
             yield out
     return run
 
@@ -159,7 +193,8 @@ def identify(docs: DataFrame, model: dict | None = None, least: float = LEAST) -
     """Predicted language of every document.
 
     Returns one row per input row: doc_id, held_out, lang_pred, score (cosine, 0 to 1),
-    rejected (no language, or score below ``least``). Only the text is an input.
+    rejected (no language, or score below the bound of the language and
+    length, or ``least`` where none was learned). Only the text is an input.
 
     Edge cases: null text or text without a letter is ``und`` with score 0 and rejected;
     without training documents all are ``und``; null doc_id is not held out and not learned
