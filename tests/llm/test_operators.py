@@ -60,6 +60,34 @@ def test_near_duplicates_match_brute_force(docs):
     assert near_dedup.near_duplicates(docs([])).count() == 0
 
 
+def test_large_group_of_near_copies_with_relatives_and_bridges(docs):
+    rng = random.Random(43)
+    base = [f"b{i}" for i in range(200)]
+    def edited(places, mark):
+        w = base[:]
+        for k in places:
+            w[k] = f"{mark}x{k}"
+        return " ".join(w)
+    rows = [(i, edited([rng.randrange(200)], f"e{i}")) for i in range(150)]
+    # edits in 3 to 12 places: some link with the copies, some with each other only, some with none
+    for j in range(40):
+        places = sorted(rng.sample(range(200), 3 + j % 10))
+        rows += [(1000 + 2 * j, edited(places, f"r{j}")), (1001 + 2 * j, edited(places[1:], f"r{j}"))]
+    sets = {i: {tuple(t.split()[k:k + 3]) for k in range(len(t.split()) - 2)} for i, t in rows}
+    comp = {i: i for i in sets}
+    def root(i):
+        while comp[i] != i:
+            i = comp[i]
+        return i
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                x, y = sorted((root(a), root(b)))
+                comp[y] = x
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs(rows)).collect()}
+    assert got == {i: root(i) for i in sets} and 5 < len(set(got.values())) < 80
+
+
 def test_warc_round_trip_with_magic_in_payloads(spark, tmp_path):
     fake = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:77>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     big = "é" * 600

@@ -189,13 +189,19 @@ def near_duplicates(docs: DataFrame, width: int = 3, num: int = 85, den: int = 1
         .filter("left > 0")
         .select("node", "n", "comp", "own", F.posexplode(F.expr("slice(shared, 1, left)")))
         .select("node", "n", "comp", F.col("col.h").alias("h"), (F.col("own") + F.col("pos")).alias("pos")), "near-ordered")
-    side = lambda c: ordered.select("h", *[F.col(k).alias(f"{k}_{c}") for k in ("node", "n", "comp", "pos")])
+    # a shingle joins components first, then members of different ones: no pair inside a component
+    # is formed, however many of its members hold the shingle
+    holders = ordered.groupBy("h", "comp").agg(F.max(F.col("n") - F.col("pos")).alias("reach"), F.min("n").alias("n"))
+    held = lambda c: holders.select("h", *[F.col(k).alias(f"{k}_{c}") for k in ("comp", "reach", "n")])
     # at the first shingle in common, what is left of both must still hold the overlap needed
-    reach = F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
-    second = (side("x").join(side("y"), "h")
-              .filter((F.col("node_x") < F.col("node_y")) & (F.col("comp_x") != F.col("comp_y"))
-                      & (F.lit(num + den) * reach >= F.lit(num) * (F.col("n_x") + F.col("n_y"))))
-              .select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct())
+    fits = lambda x, y: F.lit(num + den) * F.least(x, y) >= F.lit(num) * (F.col("n_x") + F.col("n_y"))
+    meet = (held("x").join(held("y"), "h")
+            .filter((F.col("comp_x") < F.col("comp_y")) & fits(F.col("reach_x"), F.col("reach_y")))
+            .select("h", "comp_x", "comp_y"))
+    side = lambda c: ordered.select("h", *[F.col(k).alias(f"{k}_{c}") for k in ("node", "n", "comp", "pos")])
+    second = (meet.join(side("x"), ["h", "comp_x"]).join(side("y"), ["h", "comp_y"])
+              .filter(fits(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y")))
+              .select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct())
     more = materialize(_confirm(second, reps, docs, width, k, num, den, texts), "near-edges")
     if not more.isEmpty():
         comp = connected_components(
