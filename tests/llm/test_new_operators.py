@@ -66,6 +66,30 @@ def test_bpe_forgets_and_rejects(monkeypatch, spark):
         byte_bpe.decode(beyond, VOCABULARY).collect()
 
 
+def test_bpe_worker_merges_a_word_once_for_all_its_tasks(monkeypatch):
+    merged = []
+    replay = byte_bpe._replay
+    monkeypatch.setattr(byte_bpe, "_replay", lambda words, *a: merged.extend(words) or replay(words, *a))
+    shared, other = (VOCABULARY.ranks, VOCABULARY.pattern), (VOCABULARY.ranks, VOCABULARY.pattern)
+    texts = [t for t in TEXTS if t] + _random_texts(200, 11)
+    for k, t in enumerate([*texts, *texts]):        # each as a task of its own
+        words = byte_bpe._words_of(shared)
+        ids, _ = words.encode([t])
+        assert ids.tolist() == REFERENCE.encode_ordinary(t)
+        assert k < len(texts) or len(merged) == once
+        once = len(merged)
+    assert len(merged) == len(set(merged))
+    assert byte_bpe._words_of(other) is not words and byte_bpe._words_of(other) is byte_bpe._words_of(other)
+
+
+def test_bpe_pattern_that_leaves_blanks_out():
+    words = byte_bpe._Words(byte_bpe.Vocabulary(VOCABULARY.ranks, r"\w+"))
+    plain = tiktoken.Encoding("words", pat_str=r"\w+", mergeable_ranks=VOCABULARY.ranks, special_tokens={})
+    for t in ("a bc  d\n e.f g", " the of", "x \n"):
+        want = [i for w in t.split() for x in w.split(".") for i in plain.encode_ordinary(x)]
+        assert words.encode([t])[0].tolist() == want
+
+
 def _brute_phrases(rows, least, longest, top):
     """rows: (lang, text)."""
     import re

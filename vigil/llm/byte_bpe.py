@@ -9,7 +9,8 @@ of a lower rank waits with its other positions until that one is done, so every
 as it would be alone (lowest rank first, then leftmost).
 
 Documents are then put together from remembered words: no shuffle, and memory is bounded by
-:data:`MOST_WORDS` remembered words, one batch and the vocabulary.
+:data:`MOST_WORDS` remembered words, one batch and the vocabulary. A Python worker keeps its
+words for the next task.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MOST_RANKS = 1_000_000      # bound of the broadcast vocabulary
-MOST_WORDS = 1_000_000       # words a task remembers
+MOST_WORDS = 1_000_000       # words a worker remembers
 BATCH_BYTES = 4 << 20       # text that is encoded together
 
 
@@ -66,11 +67,18 @@ def load_vocabulary(path: str, pattern: str) -> Vocabulary:
 
 def replay_merges(words: Sequence[bytes], vocabulary: Vocabulary) -> list[list[int]]:
     """Ids of each word: a whole word of the vocabulary is one id, all others are merged."""
+    ids, counts = _replay(words, vocabulary, dict(vocabulary.byte_pairs))
+    return [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])] if len(words) else []
+
+
+def _replay(words: Sequence[bytes], vocabulary: Vocabulary, known: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all words, number of each word's); ``known``: pair (left * 2**24 + right) -> rank or -1."""
     ranks, tokens = vocabulary.ranks, vocabulary.tokens
-    out: list[list[int]] = [[ranks[w]] if w in ranks else [] for w in words]
-    open_ = [k for k, found in enumerate(out) if not found and words[k]]
+    whole = np.fromiter((ranks.get(w, -1) for w in words), np.int64, len(words))
+    counts = (whole >= 0).astype(np.int64)
+    open_ = [k for k in np.flatnonzero(whole < 0).tolist() if words[k]]
     if not open_:
-        return out
+        return whole[whole >= 0], counts
     sizes = np.array([len(words[k]) for k in open_])
     starts = np.cumsum(sizes) - sizes
     raw = np.frombuffer(b"".join(words[k] for k in open_), np.uint8)
@@ -88,12 +96,12 @@ def replay_merges(words: Sequence[bytes], vocabulary: Vocabulary) -> list[list[i
     rank_at = np.full(n, -1)
     rank_at[:-1] = vocabulary.pairs[raw[:-1], raw[1:]]
     rank_at[starts + sizes - 1] = -1
+    now: list[int] = rank_at.tolist()       # the same while ranks are replayed
     spot = np.flatnonzero(rank_at >= 0)
     spot = spot[np.argsort(rank_at[spot], kind="stable")]
     found, first = np.unique(rank_at[spot], return_index=True)
     where = {r: s.tolist() for r, s in zip(found.tolist(), np.split(spot, first[1:]), strict=False)}
     heap = found.tolist()
-    known = dict(vocabulary.byte_pairs)     # pair (left * 2**24 + right) -> rank or -1
 
     while heap:
         rank = heapq.heappop(heap)
@@ -103,31 +111,43 @@ def replay_merges(words: Sequence[bytes], vocabulary: Vocabulary) -> list[list[i
         spots.sort()
         waits, held = -1, []                # word that has a lower pair now, and its positions
         for p in spots:
-            q = after[p]
-            # merged away since, or followed by another token now
-            if q < 0 or known.get(ids[p] << 24 | ids[q]) != rank:
+            if now[p] != rank:              # merged away since, or followed by another token now
                 continue
             if of[p] == waits:
                 held.append(p)
                 continue
-            ids[p], ids[q] = rank, -1
+            q = after[p]
+            ids[p], ids[q], now[q] = rank, -1, -1
             r = after[p] = after[q]
-            after[q] = -1
-            b = before[p]
             if r >= 0:
                 before[r] = p
-            for left, right in ((p, r), (b, p)):
-                if left < 0 or right < 0:
-                    continue
-                pair = ids[left] << 24 | ids[right]
-                x = known.get(pair)
+                right = ids[r]
+                x = known.get(rank << 24 | right)
+                if x is None:
+                    x = known[rank << 24 | right] = ranks.get(tokens[rank] + tokens[right], -1)
+                now[p] = x
+                if x >= 0:
+                    if x in where:
+                        where[x].append(p)
+                    else:
+                        where[x] = [p]
+                        heapq.heappush(heap, x)
+                    if x < rank:
+                        waits = of[p]
+            else:
+                now[p] = -1
+            b = before[p]
+            if b >= 0:
+                left = ids[b]
+                x = known.get(left << 24 | rank)
                 if x is None:
-                    x = known[pair] = ranks.get(tokens[ids[left]] + tokens[ids[right]], -1)
+                    x = known[left << 24 | rank] = ranks.get(tokens[left] + tokens[rank], -1)
+                now[b] = x
                 if x >= 0:
                     if x in where:
-                        where[x].append(left)
+                        where[x].append(b)
                     else:
-                        where[x] = [left]
+                        where[x] = [b]
                         heapq.heappush(heap, x)
                     if x < rank:
                         waits = of[p]
@@ -139,14 +159,40 @@ def replay_merges(words: Sequence[bytes], vocabulary: Vocabulary) -> list[list[i
                 heapq.heappush(heap, rank)
     left_over = np.array(ids)
     alive = left_over >= 0
-    count = np.add.reduceat(alive, starts)
-    for k, part in zip(open_, np.split(left_over[alive], np.cumsum(count)[:-1]), strict=True):
-        out[k] = part.tolist()
-    return out
+    counts[open_] = np.add.reduceat(alive, starts)
+    flat = np.repeat(whole, counts)
+    flat[flat < 0] = left_over[alive]
+    return flat, counts
+
+
+class _Lists:
+    """Lists of ids in one growing array."""
+
+    def __init__(self):
+        self.ids, self.ends, self.size = np.zeros(1 << 16, np.int32), np.zeros(1 << 12, np.int64), 0
+
+    def __len__(self) -> int:
+        return self.size
+
+    def extend(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        at, size = int(self.ends[self.size]), self.size + len(counts)
+        while at + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while size >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.ids[at: at + len(ids)] = ids
+        self.ends[self.size + 1: size + 1] = at + np.cumsum(counts)
+        self.size = size
+
+    def take(self, spot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the lists of these numbers, offset of each in them and their end)."""
+        begin, count = self.ends[spot], self.ends[spot + 1] - self.ends[spot]
+        upto = np.concatenate([[0], np.cumsum(count)])
+        return self.ids[np.repeat(begin - upto[:-1], count) + np.arange(upto[-1])], upto
 
 
 class _Words:
-    """Remembered words of a task: their ids in one growing array."""
+    """Remembered words of a worker and their ids."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
@@ -160,9 +206,10 @@ class _Words:
     def forget(self) -> None:
         self.heads: dict[str, int] = {}      # as they stand
         self.tails: dict[str, int] = {}      # after one blank
-        self.pretokens: dict[str, list[int]] = {}
-        self.ids = np.zeros(1 << 16, np.int32)
-        self.ends = [0]
+        self.pretokens: dict[str, int] = {}
+        self.pairs = dict(self.vocabulary.byte_pairs)
+        self.pieces = _Lists()               # ids of the pre-tokens
+        self.lists = _Lists()                # ids of the words
 
     def split(self, text: str) -> tuple[list[str], list[str]]:
         """(words as they stand, words after one blank): no match of the pattern crosses their
@@ -173,42 +220,52 @@ class _Words:
         return [first] if first else [], rest
 
     def learn(self, heads: set[str], tails: set[str]) -> None:
-        cut = [(self.heads, w, self.cut(w)) for w in heads] + [(self.tails, w, self.cut(" " + w)) for w in tails]
-        new = sorted({t for _, _, c in cut for t in c if t not in self.pretokens})
-        self.pretokens.update(zip(new, replay_merges([t.encode("utf-8", "surrogatepass") for t in new], self.vocabulary), strict=True))
-        flat: list[int] = []
-        at = self.ends[-1]
-        for table, word, found in cut:
-            for t in found:
-                flat.extend(self.pretokens[t])
-            table[word] = len(self.ends) - 1
-            self.ends.append(at + len(flat))
-        while at + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[at: at + len(flat)] = flat
+        # words that white space does not end are cut in one go: each blank begins the next one
+        plain = [w for w in tails if w and not w[-1].isspace()]
+        found = self.cut(" " + " ".join(plain)) if plain else []
+        begins = [k for k, t in enumerate(found) if t[0] == " "]
+        if len(begins) != len(plain):       # a pattern that leaves blanks out
+            plain, found, begins = [], [], []
+        for table, words, before in ((self.heads, heads, ""), (self.tails, tails.difference(plain), " ")):
+            for w in words:
+                table[w] = len(self.lists) + len(begins)
+                begins.append(len(found))
+                found += self.cut(before + w)
+        self.tails.update(zip(plain, range(len(self.lists), len(self.lists) + len(plain)), strict=True))
+        new = list(set(found).difference(self.pretokens))
+        self.pretokens.update(zip(new, range(len(self.pieces), len(self.pieces) + len(new)), strict=True))
+        self.pieces.extend(*_replay([t.encode("utf-8", "surrogatepass") for t in new], self.vocabulary, self.pairs))
+        ids, upto = self.pieces.take(np.fromiter(map(self.pretokens.__getitem__, found), np.int64, len(found)))
+        self.lists.extend(ids, np.diff(upto[[*begins, len(found)]]))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offset of each text in them)."""
         parts = [self.split(t) for t in texts]
-        heads = {w for h, _ in parts for w in h}
-        tails = {w for _, t in parts for w in t}
-        if len(self.ends) > MOST_WORDS:
+        heads = set().union(*(h for h, _ in parts))
+        tails = set().union(*(t for _, t in parts))
+        if len(self.lists) > MOST_WORDS or len(self.pairs) > MOST_WORDS:
             self.forget()
-        self.learn({w for w in heads if w not in self.heads}, {w for w in tails if w not in self.tails})
+        self.learn(heads.difference(self.heads), tails.difference(self.tails))
         spots: list[int] = []
         words = [0]
         for h, t in parts:
             spots.extend(map(self.heads.__getitem__, h))
             spots.extend(map(self.tails.__getitem__, t))
             words.append(len(spots))
-        ends = np.array(self.ends, np.int64)
-        spot = np.array(spots, np.int64)
-        begin, count = ends[spot], ends[spot + 1] - ends[spot]
-        upto = np.concatenate([[0], np.cumsum(count)])
-        ids = self.ids[np.repeat(begin - upto[:-1], count) + np.arange(upto[-1])]
+        ids, upto = self.lists.take(np.array(spots, np.int64))
         return ids, upto[np.array(words)]
 
 
+_worker: list[tuple[object, _Words]] = []    # what this Python worker remembers from its last task
+
+
+def _words_of(shared: tuple[dict[bytes, int], str]) -> _Words:
+    """The words that earlier tasks of this worker met with the same broadcast vocabulary, else none."""
+    if not (_worker and _worker[0][0] is shared):
+        _worker[:] = [(shared, _Words(Vocabulary(*shared)))]
+    return _worker[0][1]
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Batches cut so that their texts hold about BATCH_BYTES (one longer text stays whole)."""
     for b in batches:
@@ -235,7 +292,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id") -> Data
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary.ranks, vocabulary.pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words(Vocabulary(*shared.value))
+        words = _words_of(shared.value)
         for b, texts in _blocks(batches):
             ids, offsets = words.encode(texts)
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
