@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -272,6 +273,55 @@ def test_passages_recall_of_edited_copies(docs, alike):
     assert found >= 0.97 * n / 2, found
 
 
+def test_passages_edited_copies_of_words_that_stand_in_many_places(docs):
+    """Every 4-gram stands in 18 unrelated earlier documents, and each word but one in 5 to 10 is copied."""
+    rng = random.Random(31)
+    far = lambda n: [f"f{rng.randrange(10 ** 9)}" for _ in range(n)]
+    rows, copies = [], set()
+    for k, step in enumerate([5, 6, 7, 7, 8, 8, 10]):
+        p = far(60)
+        for _ in range(18):     # in pieces too short for a passage
+            for at in range(0, 57, 4):
+                rows.append((len(rows), " ".join(far(9) + p[at:at + 7] + far(9))))
+        q = [w if at % step != step - 1 else far(1)[0] for at, w in enumerate(p)]
+        rows += [(10_000 + 2 * k, " ".join(far(40) + p + far(40))), (10_001 + 2 * k, " ".join(far(25) + q + far(30)))]
+        copies.add((10_001 + 2 * k, 10_000 + 2 * k))
+    got = passages.repeated_passages(docs(rows)).collect()
+    # brute force: the copies are aligned word by word and 48 or more of 60 words are alike
+    assert {(r.doc_id, r.source_id) for r in got} == copies
+    assert all(len(_reported(got, *c)) >= 50 for c in copies)
+
+
+def test_passages_matches_without_company_only_are_left_out():
+    rng = random.Random(41)
+    rows = sorted({(rng.randrange(3), rng.randrange(3), rng.randrange(900), rng.choice([4] * 30 + [8, 50])) for _ in range(120)})
+    kept = passages._in_company(*map(list, zip(*rows, strict=True)))
+    for i, (doc, src, x, _) in enumerate(rows):
+        reach = [(p, p + n - 4) for k, (d, s, p, n) in enumerate(rows) if k != i and (d, s) == (doc, src)]
+        if any(p - 64 <= x <= end + 64 for p, end in reach):
+            assert i in kept
+    far = [(1, 1, 0, 4), (1, 2, 0, 4), (1, 2, 65, 4), (1, 3, 0, 4), (1, 3, 64, 4), (2, 1, 0, 4)]
+    assert passages._in_company(*map(list, zip(*far, strict=True))) == [0, 3, 4, 5]
+
+
+def test_passages_filter_of_crowded_places_loses_no_alike_pair():
+    rng = np.random.default_rng(37)
+    for _ in range(300):
+        length = int(rng.integers(50, 140))
+        differs = np.zeros(400, bool)
+        differs[:] = rng.random(400) < 0.9
+        at = 130
+        differs[at:at + length] = False
+        differs[at + rng.choice(length, int(0.2 * length), replace=False)] = True
+        begins = [x for x in range(at, at + length - 3) if not differs[x:x + 4].any() and (x == at or differs[x - 1])]
+        bits = lambda part: np.packbits(part, bitorder="little").view(np.uint64)
+        left = np.concatenate([bits(differs[x - 64:x]) for x in begins])
+        right = np.concatenate([bits(differs[x:x + 64]) for x in begins])
+        assert passages.may_be_alike(left, right, 50, 0.8).any()
+    one = np.array([0xFFFF_FFFF_FFFF_FFFF], np.uint64)
+    assert not passages.may_be_alike(one, one << np.uint64(13), 50, 0.8).any()
+
+
 def test_licenses_match_exact_containment(docs):
     rng = random.Random(9)
     rows = [(i, _text(rng, 100)) for i in range(5)]
