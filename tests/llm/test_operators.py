@@ -292,6 +292,73 @@ def test_passages_edited_copies_of_words_that_stand_in_many_places(docs):
     assert all(len(_reported(got, *c)) >= 50 for c in copies)
 
 
+def test_passages_crowded_copies_with_words_inserted_and_removed(docs):
+    """Every 4-gram stands in 18 unrelated documents; in the copies every n-th word is followed by a new one or left out."""
+    rng = random.Random(43)
+    far = lambda n: [f"f{rng.randrange(10 ** 9)}" for _ in range(n)]
+    rows, copies = [], set()
+    for k, (step, more) in enumerate([(7, True), (8, False), (8, True), (9, False), (10, True)]):
+        p = far(72)
+        for _ in range(18):
+            for at in range(0, 69, 4):
+                rows.append((len(rows), " ".join(far(9) + p[at:at + 7] + far(9))))
+        q = [v for at, w in enumerate(p) for v in ([w] if at % step != step - 1 else [w, *far(1)] if more else [])]
+        rows += [(20_000 + 2 * k, " ".join(far(40) + p + far(40))), (20_001 + 2 * k, " ".join(far(25) + q + far(30)))]
+        copies.add((20_001 + 2 * k, 20_000 + 2 * k))
+    got = passages.repeated_passages(docs(rows)).collect()
+    assert {(r.doc_id, r.source_id) for r in got} == copies
+    assert all(len(_reported(got, *c)) >= 50 for c in copies)
+
+
+def test_passages_crowded_places_in_blocks_and_short_texts(docs, monkeypatch):
+    """Places of a seed in several blocks give the same pairs; texts too short for a passage give none."""
+    rng = random.Random(47)
+    far = lambda n: [f"f{rng.randrange(10 ** 9)}" for _ in range(n)]
+    p = far(60)
+    rows = [(n, " ".join(far(9) + p[at:at + 7] + far(9))) for n, at in enumerate(list(range(0, 57, 4)) * 18)]
+    rows += [(1000 + n, " ".join(p[:30])) for n in range(20)]
+    rows += [(5000, " ".join(far(40) + p + far(40))), (5001, " ".join(far(25) + [w if at % 7 else "zz" for at, w in enumerate(p)] + far(30)))]
+    rows += [(6000 + n, " ".join(far(12) + ["again"] * (20 + n) + far(12))) for n in range(9)]
+    whole = passages.repeated_passages(docs(rows)).collect()
+    assert {(r.doc_id, r.source_id) for r in whole} == {(5001, 5000)}
+    monkeypatch.setattr(passages, "BLOCK", 5)
+    assert passages.repeated_passages(docs(rows)).collect() == whole
+
+
+def test_passages_words_beyond_the_ends_of_a_text_differ():
+    left, right = passages.inside(*np.zeros((2, 4), np.uint64), np.array([0, 3, 64, 90]), np.array([4, 63, 64, 5]))
+    assert [int(v).bit_count() for v in left] == [64, 61, 0, 0] and int(left[1]) == 2 ** 61 - 1
+    assert [int(v).bit_count() for v in right] == [60, 1, 0, 59] and int(right[0]) == 2 ** 64 - 16
+
+
+def test_passages_word_by_word_against_all_windows():
+    rng = np.random.default_rng(59)
+    seen = set()
+    for _ in range(400):
+        differs = rng.random(128) < rng.choice([0.15, 0.25, 0.4])
+        differs[64:64 + rng.integers(4, 30)] = False
+        differs[:rng.integers(0, 60)] = True        # the text begins, and ends, here
+        differs[128 - rng.integers(1, 60):] = True
+        left, right = np.packbits(differs, bitorder="little").view(np.uint64).reshape(2, 1)
+        brute = any(differs[a:b].sum() <= 0.2 * (b - a) for a in range(1, 65) for b in range(max(64, a + 50), 128))
+        got = bool(passages.word_by_word(left, right, 50, 0.8)[0])
+        assert got or not brute
+        seen.add((got, brute))
+    assert {(True, True), (False, False)} <= seen
+
+
+def test_passages_pairs_of_a_seed_against_all_pairs():
+    rng = np.random.default_rng(53)
+    for n in (1, 7, 300):
+        kind = np.sort(rng.integers(0, 3, n))
+        doc, fresh, block = rng.integers(0, 40, n), rng.random(n) < 0.7, rng.integers(0, 2, n)
+        for dealt in (block, np.zeros(n, np.int64)):
+            got = sorted((int(x), int(y)) for xs, ys in passages.begins_of_runs(kind, doc, fresh, dealt) for x, y in zip(xs, ys, strict=True))
+            two = len(set(dealt.tolist())) > 1
+            assert got == [(x, y) for x in range(n) for y in range(n) if doc[y] < doc[x] and fresh[x]
+                           and (kind[x] != kind[y] or not kind[x]) and (not two or dealt[x] != dealt[y])]
+
+
 def test_passages_matches_without_company_only_are_left_out():
     rng = random.Random(41)
     rows = sorted({(rng.randrange(3), rng.randrange(3), rng.randrange(900), rng.choice([4] * 30 + [8, 50])) for _ in range(120)})
