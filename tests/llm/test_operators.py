@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from vigil.llm import (decontaminate, fingerprints, langid, licenses, line_dedup, mixing, near_dedup,
+from vigil.llm import (base, decontaminate, fingerprints, langid, licenses, line_dedup, mixing, near_dedup,
                        passages, token_counts, warc)
 
 VOCAB = [f"w{i}" for i in range(400)]
@@ -325,6 +325,54 @@ def test_passages_crowded_places_in_blocks_and_short_texts(docs, monkeypatch):
     assert passages.repeated_passages(docs(rows)).collect() == whole
 
 
+def test_passages_places_are_sent_in_few_bytes_and_none_is_lost(docs, spark):
+    """Seeds, documents and positions of whole texts, at 10 bytes a place or less; a row each took over 20."""
+    rng = random.Random(61)
+    rows = [(rng.randrange(-10 ** 12, 10 ** 12), _text(rng, rng.randrange(0, 900))) for _ in range(300)]
+    rows += [(7, "a b c"), (8, None), (9, "a b c d"), (9, "x a b c d"), (10, "a a a a a a a")]
+    base = docs(rows).selectExpr("doc_id doc", "text")
+    got = passages.map_rows(base, passages._packed(passages._seeds, 5), passages.PACK).collect()
+    places = [p for r in got for p in zip(*(v.tolist() for v in passages.unpack(
+        r.places, r.seeds, r.runs, r.docs, r.ends, r.steps)), strict=True)]
+    want = []
+    for doc, text in rows:
+        s = passages.seed_hashes(passages.WordHash().of(passages.space_words((text or "").encode())))
+        want += [(h, doc, at) for at, h in enumerate(s.tolist())]
+    assert sorted(places) == sorted(want)
+    assert len({(p[0], r.bucket) for r in got for p in zip(passages.unpack(
+        r.places, r.seeds, r.runs, r.docs, r.ends, r.steps)[0].tolist(), strict=True)}) == len({p[0] for p in places})
+    sent = sum(len(r.seeds) + len(r.docs) + len(r.ends) + len(r.steps) for r in got)
+    assert sent <= 10 * len(places), sent / len(places)
+
+
+def test_passages_seeds_of_two_documents_against_all_places():
+    rng = np.random.default_rng(67)
+    for n in (1, 9, 400):
+        seed, doc, pos = rng.integers(0, n // 2 + 1, n), rng.integers(-5, 5, n), rng.integers(0, 50, n).astype(np.int32)
+        *got, cuts = passages.repeated_seeds(seed, doc, pos)
+        want = sorted((s, d, p) for s, d, p in zip(seed.tolist(), doc.tolist(), pos.tolist(), strict=True)
+                      if len({e for t, e in zip(seed.tolist(), doc.tolist(), strict=True) if t == s}) > 1)
+        assert [tuple(r) for r in zip(*(v.tolist() for v in got), strict=True)] == want
+        assert [want[c][0] for c in cuts[:-1]] == sorted({w[0] for w in want}) and cuts[-1] == len(want)
+
+
+def test_passages_leave_no_table_behind_but_the_found_ones(docs, monkeypatch):
+    """A source that many share is dealt over tasks, a pair's slices are apart, rows of equal doc_id have two texts."""
+    rng = random.Random(71)
+    far = lambda n: " ".join(f"f{rng.randrange(10 ** 9)}" for _ in range(n))
+    one, two = far(80), far(90)
+    rows = [(1, f"{one} {far(900)} {two}"), *((10 + n, f"{two} {far(700)} {one}") for n in range(5)),
+            (50, f"{far(3)} {one}"), (50, f"{far(4)} {two}")]
+    with base.scoped_tables() as made:
+        whole = passages.repeated_passages(docs(rows)).collect()
+    assert len(made) == 2 and all("passage-found" in path for path in made)
+    for doc in range(10, 15):
+        assert _reported(whole, doc, 1) == set(range(90)) | set(range(790, 870))
+    assert _reported(whole, 50, 1) == set(range(3, 83)) | set(range(4, 94))
+    monkeypatch.setattr(passages, "SHARED", 2)
+    assert sorted(passages.repeated_passages(docs(rows)).collect()) == sorted(whole)
+
+
 def test_passages_words_beyond_the_ends_of_a_text_differ():
     left, right = passages.inside(*np.zeros((2, 4), np.uint64), np.array([0, 3, 64, 90]), np.array([4, 63, 64, 5]))
     assert [int(v).bit_count() for v in left] == [64, 61, 0, 0] and int(left[1]) == 2 ** 61 - 1
