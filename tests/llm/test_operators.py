@@ -330,7 +330,7 @@ def test_passages_places_are_sent_in_few_bytes_and_none_is_lost(docs, spark):
     rng = random.Random(61)
     rows = [(rng.randrange(-10 ** 12, 10 ** 12), _text(rng, rng.randrange(0, 900))) for _ in range(300)]
     rows += [(7, "a b c"), (8, None), (9, "a b c d"), (9, "x a b c d"), (10, "a a a a a a a")]
-    base = docs(rows).selectExpr("doc_id doc", "text")
+    base = docs(rows).selectExpr("doc_id doc", "text words")
     got = passages.map_rows(base, passages._packed(passages._seeds, 5), passages.PACK).collect()
     places = [p for r in got for p in zip(*(v.tolist() for v in passages.unpack(
         r.places, r.seeds, r.runs, r.docs, r.ends, r.steps)), strict=True)]
@@ -356,6 +356,24 @@ def test_passages_seeds_of_two_documents_against_all_places():
         assert [want[c][0] for c in cuts[:-1]] == sorted({w[0] for w in want}) and cuts[-1] == len(want)
 
 
+def test_passages_bytes_of_words_leave_out_no_passage():
+    rng = random.Random(73)
+    seen = set()
+    for _ in range(600):
+        x = [b"%d" % rng.randrange(3000) for _ in range(140)]
+        y = [b"%d" % rng.randrange(3000) if rng.random() < rng.choice([0.1, 0.2, 0.3]) else w for w in x[:rng.randrange(60, 141)]]
+        at = [k for k in range(len(y) - 3) if x[k:k + 4] == y[k:k + 4]]
+        at = [k for k in at if k - at[0] < rng.choice([2, 60])]
+        if not at:
+            continue
+        codes = [bytes(passages.WordHash().of(w).astype(np.uint8)) for w in (x, y)]
+        got = passages.align(x, y, at, at)
+        passes = got[1] - got[0] >= 50 and got[4] >= 0.8
+        assert passages.may_align(*codes, at, at, 50, 0.8) or not passes
+        seen.add((passes, passages.may_align(*codes, at, at, 50, 0.8)))
+    assert {(True, True), (False, False)} <= seen
+
+
 def test_passages_leave_no_table_behind_but_the_found_ones(docs, monkeypatch):
     """A source that many share is dealt over tasks, a pair's slices are apart, rows of equal doc_id have two texts."""
     rng = random.Random(71)
