@@ -391,6 +391,96 @@ def test_passages_leave_no_table_behind_but_the_found_ones(docs, monkeypatch):
     assert sorted(passages.repeated_passages(docs(rows)).collect()) == sorted(whole)
 
 
+def test_passages_of_repeated_words_are_chained_a_few_times(docs, monkeypatch):
+    """Copies of repeated words, of a repeated line and of a text that repeats itself: each diagonal was a chain before."""
+    rng = random.Random(83)
+    far = lambda n: " ".join(f"f{rng.randrange(10 ** 9)}" for _ in range(n))
+    line, own = far(31), " ".join(far(9) + " the same words come again and again" for _ in range(40))
+    rows = [(n, f"{far(20)} {'over ' * 600} {far(5)} {f'{line} ' * 20} {far(5)} {'this that ' * 200} {own}") for n in range(4)]
+    chained, found = [], passages.materialize
+
+    def counted(df, name):
+        out = found(df, name)
+        if name in ("passage-chains", "passage-likely"):
+            chained.append(out.count())
+        return out
+    monkeypatch.setattr(passages, "materialize", counted)
+    got = passages.repeated_passages(docs(rows)).collect()
+    for n in range(1, 4):
+        assert len(_reported(got, n, 0)) >= 600 + 31 * 20 + 400 + 16 * 40
+    assert sum(chained) < 1500, chained
+
+
+def test_passages_of_a_chain_that_goes_on_elsewhere(docs):
+    """The words behind the passage stand farther behind in the source, or others do in between: a part of the chain is a passage."""
+    rng = random.Random(89)
+    far = lambda n: " ".join(f"f{rng.randrange(10 ** 9)}" for _ in range(n))
+    one, two, three = far(55), far(12), far(9)
+    rows = [(1, f"{far(9)} {one} {far(45)} {two} {far(60)} {three}"), (2, f"{far(5)} {one} {two} {far(50)} {three} {far(9)}")]
+    got = passages.repeated_passages(docs(rows)).collect()
+    assert _reported(got, 2, 1) == set(range(5, 60))
+
+
+def test_passages_words_of_odd_texts_have_the_hashes_of_words():
+    texts = [b"  A b\tC\n d ", None, b"", b" ", b"x", "\u00c4 \u00a0B\x0bc\x1cd\x0ce a".encode()]
+    for more in ([], [b"\xff a", b"B \xfe"]):
+        h, words = passages.word_hashes(texts + more)
+        split = [passages.space_words(text) for text in texts + more]
+        assert words.tolist() == list(map(len, split))
+        assert h.tolist() == [v for w in split for v in passages.WordHash().of(w).tolist()]
+
+
+def test_passages_packed_rows_come_whole_to_the_tasks_of_their_keys():
+    rng = np.random.default_rng(97)
+    columns = [rng.integers(-2 ** 62, 2 ** 62, 500), rng.integers(0, 40, 500), *(rng.integers(0, 10 ** 9, 500) for _ in range(5)),
+               rng.integers(0, 2 ** 63, (500, 4)).astype(np.uint64)]
+    sent = list(passages.deal(passages.RUNS, columns[1], columns, 7))
+    assert sum(map(len, (b["rows"] for b in sent))) <= 7
+    got = passages.columns_of(passages.dealt(iter(sent)), passages.RUNS)
+    rows = lambda c: sorted(tuple(np.ravel(v[i]).tolist()[k] for v in c for k in range(np.ravel(v[i]).size)) for i in range(500))
+    assert rows(got) == rows(columns)
+
+
+def test_passages_bits_and_bytes_of_words_leave_out_no_run_and_no_chain():
+    """Against the alignment of the words: runs by bits of the words around, chains by their bytes, in parts where they go astray."""
+    rng = random.Random(101)
+    seen = set()
+    for _ in range(400):
+        x, odds = [b"%d" % rng.randrange(3000) for _ in range(150)], rng.choice([0.1, 0.2, 0.3, 0.45])
+        y = [b"%d" % rng.randrange(3000) if rng.random() < odds else w for w in x]
+        at = [k for k in range(30, 110) if x[k:k + 4] == y[k:k + 4]]
+        if not at:
+            continue
+        end = at[0]
+        while end + 1 in at:
+            end += 1
+        h = [passages.WordHash().of(w) for w in (x, y)]
+        around = np.ones(400, bool)
+        around[100:250] = (h[0] & np.uint64(3)) != (h[1] & np.uint64(3))
+        left, right = (np.packbits(around[v:v + 64], bitorder="little").view(np.uint64) for v in (100 + at[0] - 64, 100 + end + 4))
+        room = tuple(np.clip(np.array([v]) - 64, 0, 16) for v in (at[0], 150 - end - 4))
+        lo, hi = max(0, at[0] - 80), min(150, end + 84)
+        got = passages.align(x[lo:hi], y[lo:hi], [at[0] - lo, end - lo], [at[0] - lo, end - lo])
+        passes = got[1] - got[0] >= 50 and got[4] >= 0.8
+        may = bool(passages.may_pass(left, right, np.array([end + 4 - at[0]]), room, 50, 0.8)[0])
+        assert may or not passes
+        codes = [bytes(v.astype(np.uint8)) for v in h]
+        parts = list(passages.likely_parts(*codes, at, at, 50, 0.8, 1))
+        whole = passages.align(x, y, at, at)
+        assert parts or not (whole[1] - whole[0] >= 50 and whole[4] >= 0.8)
+        seen.add((may, passes, bool(parts)))
+    assert {(True, True, True), (False, False, False)} <= seen
+
+
+def test_passages_places_inside_repetitions_and_their_ends():
+    seed = np.array([1, 2, 3, 3, 3, 3, 9, 4, 5, 4, 5, 4, 5, 6, 7, 8, 6])
+    begins = np.zeros(len(seed), bool)
+    begins[[0, 6]] = True
+    inside, rest = passages.repeats(seed, begins)
+    assert np.flatnonzero(inside).tolist() == [3, 4, 5, 9, 10, 11, 12]
+    assert rest.tolist() == [0, 0, 3, 2, 1, 0, 0, 5, 4, 3, 2, 1, 0, 0, 0, 0, 0]
+
+
 def test_passages_words_beyond_the_ends_of_a_text_differ():
     left, right = passages.inside(*np.zeros((2, 4), np.uint64), np.array([0, 3, 64, 90]), np.array([4, 63, 64, 5]))
     assert [int(v).bit_count() for v in left] == [64, 61, 0, 0] and int(left[1]) == 2 ** 61 - 1
